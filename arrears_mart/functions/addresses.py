@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from arrears_mart.functions.text import blank_to_null, digits_only, strip
+from arrears_mart.functions.text import digits_only, strip
 
 # The patterns that split `<street> No <number> [Int <unit>] <district> CP <code>`.
 _EXACT = "(?dU)"
@@ -52,7 +52,8 @@ def split_address(address: Column) -> dict[str, Column]:
         strip(F.when(numbered, after_number)),
         F.coalesce(F.nullif(_find(text, "labelled_code"), F.lit("")), _find(text, "bare_code")),
     )
-    return {name: blank_to_null(part) for name, part in zip(ADDRESS_PARTS, parts)}
+    # No part has outer whitespace, so only empty ones are missing.
+    return {name: F.nullif(part, F.lit("")) for name, part in zip(ADDRESS_PARTS, parts)}
 
 
 def postal_code(text: Column) -> Column:

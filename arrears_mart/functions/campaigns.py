@@ -18,26 +18,26 @@ def campaign_number(campaign: Column) -> Column:
 
 def campaign_last2(campaign: Column) -> Column:
     """Last two digits of a campaign, `''` for a missing one: at most 111 different values."""
-    return F.coalesce(F.right(digits_only(campaign), F.lit(2)), F.lit(""))
+    return F.coalesce(F.substring(digits_only(campaign), -2, 2), F.lit(""))
 
 
-def _year_digits(digits: Column) -> Column:
-    return F.left(digits, F.length(digits) - 2)
+def year_of_digits(digits: Column) -> Column:
+    """Year part of the digits of a campaign that carries one, else null."""
+    return F.when(F.length(digits) >= _DIGITS_WITH_YEAR, F.left(digits, F.length(digits) - 2))
+
+
+def normal_of_digits(digits: Column, reference_year: int) -> Column:
+    """Year and two-digit number; digits without a year get the reference year; no digits is null."""
+    year = F.coalesce(year_of_digits(digits), F.lit(str(reference_year)))
+    return F.when(digits != "", F.concat(year, F.lpad(F.substring(digits, -2, 2), 2, "0")))
 
 
 def campaign_year(campaign: Column) -> Column:
-    """Year of a campaign that carries one, else null."""
-    digits = digits_only(campaign)
-    return F.when(F.length(digits) >= _DIGITS_WITH_YEAR, _year_digits(digits)).try_cast("bigint")
-
-
-def normalise_campaign(campaign: Column, reference_year: int | Column) -> Column:
-    """Year and two-digit number; a code without a year gets the reference year; no digits is null."""
-    digits = digits_only(campaign)
-    year = F.lit(reference_year) if isinstance(reference_year, int) else reference_year
-    number = F.lpad(F.right(digits, F.lit(2)), 2, "0")
-    own_year = F.when(F.length(digits) >= _DIGITS_WITH_YEAR, _year_digits(digits))
-    return F.when(digits != "", F.concat(F.coalesce(own_year, year.cast("string")), number))
+    return year_of_digits(digits_only(campaign)).try_cast("bigint")
+
+
+def normalise_campaign(campaign: Column, reference_year: int) -> Column:
+    return normal_of_digits(digits_only(campaign), reference_year)
 
 
 def account_campaign_key(account: Column, campaign: Column) -> Column:

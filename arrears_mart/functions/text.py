@@ -21,7 +21,7 @@ def strip(text: Column) -> Column:
 
 def has_text(text: Column) -> Column:
     """True where something other than whitespace is present; never null."""
-    return F.coalesce(strip(text) != "", F.lit(False))
+    return F.coalesce(text.rlike(r"(?U)[^\s\x1c-\x1f]"), F.lit(False))
 
 
 def blank_to_null(text: Column) -> Column:
@@ -38,9 +38,14 @@ def digits_only(text: Column) -> Column:
     return F.regexp_replace(text, r"\D", "")
 
 
+def stripped(text: Column) -> Column:
+    """Text without outer whitespace, null where nothing is left."""
+    return F.nullif(strip(text), F.lit(""))
+
+
 def join_words(*texts: Column) -> Column:
     """The non-blank texts joined with single spaces; `''` when all are blank."""
-    joined = F.concat_ws(" ", *[blank_to_null(strip(t)) for t in texts])
+    joined = F.concat_ws(" ", *[stripped(t) for t in texts])
     return strip(F.regexp_replace(joined, r"(?U)\s+", " "))
 
 
@@ -51,7 +56,7 @@ def first_present(*texts: Column) -> Column:
 
 def closing_code(first: Column, second: Column) -> Column:
     """The second pre-closing code if there is one, else the first, both without outer whitespace."""
-    return first_present(strip(second), strip(first))
+    return F.coalesce(stripped(second), stripped(first))
 
 
 def null_words_to_null(text: Column) -> Column:

@@ -7,21 +7,26 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arrears_mart.functions.addresses import postal_code
+from arrears_mart.functions.addresses import pad_postal_code, postal_code, split_address
 from arrears_mart.functions.campaigns import campaign_last2, campaign_number
 from arrears_mart.functions.dates import call_clock
 from arrears_mart.functions.text import first_present, has_text, strip
 from arrears_mart.operators.lookups import BROADCAST_BYTES, lookup_join
-from arrears_mart.operators.unique import best_row, first_per_key
+from arrears_mart.operators.unique import first_per_key, ranked_row
 from arrears_mart.schemas import ARREARS, CLIENTS, CLOCK, POSTAL_SCHEMA, ZONES, columns_of
 
 ARREARS_PREFIX = "M_"
+ADDRESS_PREFIX = "A_"
 _LAST_CONTACT = ("STATUS_GESTION", "MOTIVO_NO_COBRO", "DICTAMINACION", "COMENTARIO", "FECHA_PROMESA")
 
 
 def keyed(df: DataFrame, key: str = "NO_DAMA") -> DataFrame:
-    """Rows with a usable key, the key without outer whitespace."""
-    return df.filter(has_text(F.col(key))).withColumn(key, strip(F.col(key)))
+    """Rows with a usable key, the key without outer whitespace.
+
+    The last filter changes nothing; a join would add it to one reader of the rows only, and two readers with the
+    same plan share one shuffle.
+    """
+    return df.filter(has_text(F.col(key))).withColumn(key, strip(F.col(key))).filter(F.col(key).isNotNull())
 
 
 def arrival_in(df: DataFrame, arrival: str | None) -> str | None:
@@ -43,14 +48,19 @@ def join_zones(
     """Region, division, route and `ID_COBRADOR` of the zone. An account without a zone matches nothing."""
     usable = zones.filter(F.col("ZONA").isNotNull())
     unique = first_per_key(usable, ["ZONA"], _others(ZONES, "ZONA"), arrival_in(zones, arrival))
-    return lookup_join(df, unique, "ZONA", "NO_DAMA", broadcast_bytes)
+    return lookup_join(df, unique, "ZONA", "NO_DAMA", broadcast_bytes, measure=usable)
 
 
 def join_arrears(df: DataFrame, arrears: DataFrame, arrival: str | None = None) -> DataFrame:
-    """The first arrears row of the account, whatever its campaign; its columns get a prefix."""
+    """The first arrears row of the account, whatever its campaign; its columns get a prefix.
+
+    The parts of its address come with another prefix. The address is split here, once per arrears row.
+    """
     columns = _others(ARREARS, "NO_DAMA")
     unique = first_per_key(keyed(arrears), ["NO_DAMA"], columns, arrival_in(arrears, arrival))
-    return df.join(unique.select("NO_DAMA", *[F.col(c).alias(ARREARS_PREFIX + c) for c in columns]), "NO_DAMA", "left")
+    parts = [c.alias(ADDRESS_PREFIX + name) for name, c in split_address(F.col("DOMICILIO")).items()]
+    prefixed = unique.select("NO_DAMA", *[F.col(c).alias(ARREARS_PREFIX + c) for c in columns], *parts)
+    return df.join(prefixed, "NO_DAMA", "left")
 
 
 def contact_summary(
@@ -61,8 +71,8 @@ def contact_summary(
     if by_comment_date:
         when = call_clock(F.col("COMENTARIO"), when)
     dated = keyed(contacts).withColumn("_call", when)
-    best = best_row(["_call"], columns, arrival_in(contacts, arrival))
-    summary = dated.groupBy("NO_DAMA").agg(best.alias("_best"), F.count(F.lit(1)).alias("NUMERO_GESTIONES"))
+    ranked = dated.select("NO_DAMA", ranked_row(["_call"], columns, arrival_in(contacts, arrival)).alias("_row"))
+    summary = ranked.groupBy("NO_DAMA").agg(F.max("_row").alias("_best"), F.count("_row").alias("NUMERO_GESTIONES"))
     return summary.select(
         "NO_DAMA",
         *[F.col("_best")[c].alias(c) for c in columns],
@@ -111,15 +121,15 @@ def join_balance_by_campaign(df: DataFrame, balances: DataFrame, arrival: str |
 def accounts_only_in_arrears(accounts: DataFrame, arrears: DataFrame, arrival: str | None = None) -> DataFrame:
     """First arrears row of each (account, last two campaign digits) the accounts do not have yet.
 
+    Campaigns are in their normal form, where a missing one is null.
+
     Arrears rows are made unique before the anti join, so copies of one row never meet in one task.
     """
     pair = ["NO_DAMA", "_c2"]
-    coded = keyed(arrears).filter(has_text(F.col("CAMPANA_SALDO")))
-    coded = coded.withColumn("_c2", campaign_last2(F.col("CAMPANA_SALDO")))
+    coded = keyed(arrears).withColumn("_c2", campaign_last2(F.col("CAMPANA_SALDO"))).filter("_c2 != ''")
     unique = first_per_key(coded, pair, ["ZONA", "CAMPANA_SALDO"], arrival_in(arrears, arrival))
     known = accounts.select("NO_DAMA", campaign_last2(F.col("CAMPANA_SALDO")).alias("_c2"))
-    campaign = strip(F.col("CAMPANA_SALDO")).alias("CAMPANA_SALDO")
-    return unique.join(known, pair, "left_anti").select("NO_DAMA", "ZONA", campaign)
+    return unique.join(known, pair, "left_anti").select("NO_DAMA", "ZONA", "CAMPANA_SALDO")
 
 
 def append_new_accounts(accounts: DataFrame, extras: DataFrame, loaded: Column) -> DataFrame:
@@ -129,19 +139,27 @@ def append_new_accounts(accounts: DataFrame, extras: DataFrame, loaded: Column)
     return marked.unionByName(new, allowMissingColumns=True)
 
 
+def postal_catalogue(rows: DataFrame, arrival: str | None = None) -> DataFrame:
+    """Postal code, town and state, codes padded to five characters and each listed once."""
+    coded = rows.withColumn("CODIGO_POSTAL", pad_postal_code(F.col("CODIGO_POSTAL")))
+    known = coded.filter(F.col("CODIGO_POSTAL").isNotNull())
+    return first_per_key(known, ["CODIGO_POSTAL"], ["POBLACION", "ESTADO"], arrival_in(rows, arrival))
+
+
 def newest_campaign(accounts: DataFrame) -> Column:
     """The newest campaign of all accounts, as a scalar subquery."""
     return accounts.agg(F.max(campaign_number(F.col("CAMPANA_SALDO")))).scalar()
 
 
 def fill_place_by_postal_code(
-    df: DataFrame, postal_codes: DataFrame | None, broadcast_bytes: int = BROADCAST_BYTES
+    df: DataFrame, postal_codes: DataFrame | None, arrival: str | None = None, broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Town and state of the postal code where they are missing; without a catalogue nothing changes."""
     if postal_codes is None:
         return df
-    renamed = postal_codes.select(*[F.col(c).alias(f"P_{c}") for c in POSTAL_SCHEMA.fieldNames()])
+    rows = postal_codes.select([F.col(c).alias(f"P_{c}") for c in POSTAL_SCHEMA.fieldNames()])
+    unique = postal_catalogue(postal_codes, arrival_in(postal_codes, arrival)).toDF(*rows.columns)
     coded = df.withColumn("P_CODIGO_POSTAL", postal_code(F.col("CODIGO_POSTAL")))
-    joined = lookup_join(coded, renamed, "P_CODIGO_POSTAL", "NO_DAMA", broadcast_bytes)
+    joined = lookup_join(coded, unique, "P_CODIGO_POSTAL", "NO_DAMA", broadcast_bytes, measure=rows)
     filled = {c: first_present(F.col(c), F.col(f"P_{c}")) for c in ("POBLACION", "ESTADO")}
-    return joined.withColumns(filled).drop(*renamed.columns)
+    return joined.withColumns(filled).drop(*rows.columns)

@@ -18,14 +18,20 @@ def measured_bytes(df: DataFrame) -> int:
 
 
 def lookup_join(
-    df: DataFrame, lookup: DataFrame, key: str, spread_by: str, broadcast_bytes: int = BROADCAST_BYTES
+    df: DataFrame,
+    lookup: DataFrame,
+    key: str,
+    spread_by: str,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    measure: DataFrame | None = None,
 ) -> DataFrame:
     """Left join of `df` to `lookup` (unique by `key`).
 
     A lookup measured to be small is broadcast, so a key with a third of `df`, or a null one, costs nothing. A
     larger one is joined on the key and a salt taken from `spread_by`, which splits such a key over many tasks.
+    `measure` may be a frame that is cheaper to measure and never smaller than the lookup.
     """
-    if measured_bytes(lookup) <= broadcast_bytes:
+    if measured_bytes(lookup if measure is None else measure) <= broadcast_bytes:
         return df.join(F.broadcast(lookup), key, "left")
     salt = F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int")
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")

@@ -16,15 +16,15 @@ from pyspark.sql import functions as F
 _COPIES_PER_TASK = 100_000
 
 
-def best_row(order: Sequence[str], payload: Sequence[str], arrival: str | None = None) -> Column:
-    """Aggregate: the row with the greatest `order` values, nulls last, as a struct.
+def ranked_row(order: Sequence[str], payload: Sequence[str], arrival: str | None = None) -> Column:
+    """A row as a struct whose maximum is the row with the greatest `order` values, nulls last.
 
     Ties go to the lowest `arrival` (a numeric column with the file order, if the source has one) and then to the
     greatest `payload`, so the choice depends on content and never on where Spark put a row.
     """
     first_come = [(-F.col(arrival).cast("bigint")).alias("_arrival")] if arrival else []
     rest = [c for c in payload if c not in order]
-    return F.max(F.struct(*order, *first_come, *rest))
+    return F.struct(*order, *first_come, *rest)
 
 
 def latest_per_key(
@@ -37,7 +37,8 @@ def latest_per_key(
     """One row per key: the latest by `order` (descending, nulls last), else the first one to arrive."""
     if payload is None:
         payload = [c for c in df.columns if c not in keys]
-    best = df.groupBy(*keys).agg(best_row(order, payload, arrival).alias("_best"))
+    ranked = df.select(*keys, ranked_row(order, payload, arrival).alias("_row"))
+    best = ranked.groupBy(*keys).agg(F.max("_row").alias("_best"))
     return best.select(*keys, *[F.col("_best")[c].alias(c) for c in payload])
 
 

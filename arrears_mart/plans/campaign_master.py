@@ -7,16 +7,16 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrears_mart.functions.addresses import split_address
+from arrears_mart.functions.addresses import ADDRESS_PARTS
 from arrears_mart.functions.balances import collector, is_expired, is_overpaid, payments, updated_balance
 from arrears_mart.functions.campaigns import (
     account_campaign_key,
     age_by_campaign,
-    campaign_year,
-    normalise_campaign,
+    normal_of_digits,
+    year_of_digits,
 )
 from arrears_mart.functions.dates import days_overdue, run_clock
-from arrears_mart.functions.text import closing_code, first_present, has_text, join_words
+from arrears_mart.functions.text import closing_code, digits_only, first_present, has_text, join_words
 from arrears_mart.operators import audit as A
 from arrears_mart.operators import enrich as E
 from arrears_mart.operators.unique import latest_per_key
@@ -45,14 +45,21 @@ _FROM_ADDRESS = ("CALLE", "NUMERO_EXTERIOR", "NUMERO_INTERIOR")
 
 def portfolio_facts(portfolio: DataFrame, run_year: int) -> DataFrame:
     """One row: rows with a usable key, and the latest year among campaigns that carry one (else the run year)."""
-    return portfolio.agg(
+    year = F.max(year_of_digits(F.col("_digits")).try_cast("bigint"))
+    return _with_digits(portfolio).agg(
         F.count_if(has_text(F.col("NO_DAMA"))).alias("REG_PROCESADOS"),
-        F.coalesce(F.max(campaign_year(F.col("CAMPANA_SALDO"))), F.lit(run_year).cast("bigint")).alias("ANIO"),
+        F.coalesce(year, F.lit(run_year).cast("bigint")).alias("ANIO"),
     )
 
 
 def with_normal_campaign(df: DataFrame, reference_year: int) -> DataFrame:
-    return df.withColumn("CAMPANA_SALDO", normalise_campaign(F.col("CAMPANA_SALDO"), reference_year))
+    normal = normal_of_digits(F.col("_digits"), reference_year)
+    return _with_digits(df).withColumn("CAMPANA_SALDO", normal).drop("_digits")
+
+
+def _with_digits(df: DataFrame) -> DataFrame:
+    """A column of its own for the digits, so that their regular expression runs once per row."""
+    return df.withColumn("_digits", digits_only(F.col("CAMPANA_SALDO")))
 
 
 def latest_accounts(portfolio: DataFrame, arrival: str | None = None) -> DataFrame:
@@ -74,7 +81,7 @@ def fill_gaps(df: DataFrame) -> DataFrame:
     def arrears(name: str) -> Column:
         return F.col(E.ARREARS_PREFIX + name)
 
-    parts = split_address(arrears("DOMICILIO"))
+    parts = {c: F.col(E.ADDRESS_PREFIX + c) for c in ADDRESS_PARTS}
     filled = {c: first_present(F.col(c), arrears(c)) for c in _FROM_ARREARS}
     filled |= {c: first_present(F.col(c), arrears(c), parts[c]) for c in _FROM_ARREARS_OR_ADDRESS}
     filled |= {c: first_present(F.col(c), parts[c]) for c in _FROM_ADDRESS}
@@ -127,7 +134,7 @@ def enrich_accounts(
     joined = E.join_contacts(joined, sources[CONTACTS], True, arrival)
     joined = E.join_balance_by_campaign_digits(joined, sources[BALANCES], arrival)
     joined = E.join_zones(joined, sources[ZONES], arrival)
-    placed = E.fill_place_by_postal_code(fill_gaps(joined), postal_codes)
+    placed = E.fill_place_by_postal_code(fill_gaps(joined), postal_codes, arrival)
     return add_indicators(placed, E.newest_campaign(accounts), run_ts)
 
 
@@ -161,6 +168,7 @@ def build_campaign_master(
 ) -> MasterResult:
     """Build the master by campaign rules.
 
+    `postal_codes` are catalogue rows, not necessarily unique; without them towns and states stay as they are.
     `arrival` names a numeric column with the file order of the rows; sources that have it use it to break ties.
     With `write_stages` the enriched accounts are written once and master, audit and counts read them back; turn it
     off when only the master is wanted.

@@ -6,11 +6,11 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from arrears_mart.schemas import ARREARS, BALANCES, CLIENTS, CONTACTS, PORTFOLIO, ZONES
-from arrears_mart.sources.tables import postal_catalogue
 
 RUN_TS = dt.datetime(2001, 8, 1, 6, 0, 0)
 ARRIVAL = "ORD"
@@ -77,6 +77,40 @@ select lpad(cast(o_custkey as string),7,'0') as NO_DAMA,
     "fx_cp": """
 select cast((s_suppkey%50)*13 as string) as CODIGO_POSTAL, s_name as POBLACION, n_name as ESTADO, s_suppkey as ORD
  from {supplier} join {nation} on s_nationkey=n_nationkey""",
+    # Messy text of every kind the column functions clean.
+    "fx_messy": """
+select o_orderkey as ORD,
+ concat(' ',cast(o_custkey as string),case o_orderkey%3 when 0 then '.0 ' when 1 then '.000' else '' end) as LLAVE,
+ case o_orderkey%5 when 0 then '   ' when 1 then concat('  Av  ',cast(o_orderkey%7 as string)) when 2 then ''
+  when 3 then o_orderpriority end as T1,
+ case o_orderkey%4 when 0 then ' ' when 1 then '  B  2 ' when 2 then o_orderstatus end as T2,
+ case o_orderkey%7 when 0 then '9' when 1 then '13' when 2 then concat('C',cast(year(o_orderdate) as string),'-05')
+  when 3 then 'CAMPANA 13' when 4 then 'abc' when 5 then cast(year(o_orderdate) as string) end as CAMP,
+ case o_orderkey%4 when 0 then concat(' ',cast(o_orderkey%9000 as string),'.50 ') when 1 then 'n/d'
+  when 2 then concat('-',cast(o_orderkey%90 as string)) end as MONTO,
+ case o_orderkey%6
+  when 0 then concat(cast(year(o_orderdate) as string),'-',lpad(cast(month(o_orderdate) as string),2,'0'),'-',lpad(cast(day(o_orderdate) as string),2,'0'))
+  when 1 then concat(cast(day(o_orderdate) as string),'/',cast(month(o_orderdate) as string),'/',cast(year(o_orderdate) as string))
+  when 2 then '2001-02-30' when 3 then 'sin fecha'
+  when 4 then concat(cast(year(o_orderdate) as string),'-',lpad(cast(month(o_orderdate) as string),2,'0'),'-',lpad(cast(day(o_orderdate) as string),2,'0'),' 09:30')
+  end as FECHA,
+ case o_orderkey%5 when 0 then concat('CP ',lpad(cast(o_orderkey%99999 as string),5,'0')) when 1 then cast(o_orderkey%999 as string)
+  when 2 then concat('06',lpad(cast(o_orderkey%99999 as string),5,'0')) when 3 then 's/n' end as CP,
+ case o_orderkey%5 when 0 then concat('llamada (',cast(day(o_orderdate) as string),'/',cast(month(o_orderdate) as string),'/',substr(cast(year(o_orderdate) as string),3,2),')')
+  when 1 then concat('x ( ',cast(day(o_orderdate) as string),'.',cast(month(o_orderdate) as string),'.',cast(year(o_orderdate) as string),' ) y (1/1/1999)')
+  when 2 then '(31/2/2001)' when 3 then '(5-5-201)' end as NOTA,
+ cast(o_orderdate as date) as DIA, o_orderpriority as PRIORIDAD
+ from {orders}""",
+    # One run per order year, and audit rows of those runs.
+    "fx_runs": """
+select cast(year(o_orderdate) as bigint) as ID_EJECUCION,
+ case when year(o_orderdate)%3=0 then 'ERROR' else 'EXITO' end as ESTATUS, count(*) as REG_PROCESADOS
+ from {orders} group by year(o_orderdate)""",
+    "fx_audit": """
+select cast(year(o_orderdate) as bigint) as ID_EJECUCION,
+ case o_orderkey%3 when 0 then 'ZONA_SIN_COBRADOR' when 1 then 'SALDO_NEGATIVO' else 'NO_DAMA_DUPLICADO' end as MOTIVO,
+ case when o_orderkey%3=2 then 'RECHAZO' else 'ADVERTENCIA' end as NIVEL,
+ lpad(cast(o_custkey as string),7,'0') as NO_DAMA, o_orderkey as ORD from {orders}""",
 }
 _SOURCE_FIXTURES = {
     PORTFOLIO: "fx_cartera",
@@ -92,14 +126,21 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def fixtures(spark: SparkSession, folder: str, names: Iterable[str]) -> dict[str, DataFrame]:
+    """Frames for `names`; each test table they need is opened once."""
+    needed = [t for t in TABLES if any(f"{{{t}}}" in FIXTURES[n] for n in names)]
+    tables = {t: table(spark, folder, t) for t in needed}
+    return {n: spark.sql(FIXTURES[n], **{t: df for t, df in tables.items() if f"{{{t}}}" in FIXTURES[n]}) for n in names}
+
+
 def fixture(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    tables = {t: f"parquet.`{folder.rstrip('/')}/{t}.parquet`" for t in TABLES}
-    return spark.sql(FIXTURES[name].format(**tables))
+    return fixtures(spark, folder, [name])[name]
 
 
 def fixture_sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {source: fixture(spark, folder, name) for source, name in _SOURCE_FIXTURES.items()}
+    frames = fixtures(spark, folder, list(_SOURCE_FIXTURES.values()))
+    return {source: frames[name] for source, name in _SOURCE_FIXTURES.items()}
 
 
 def fixture_postal_codes(spark: SparkSession, folder: str) -> DataFrame:
-    return postal_catalogue(fixture(spark, folder, "fx_cp"), ARRIVAL)
+    return fixture(spark, folder, "fx_cp")

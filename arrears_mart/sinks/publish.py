@@ -137,8 +137,10 @@ def export_view(master: DataFrame) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """UTF-8 CSV files with a header."""
-    df.write.mode("overwrite").csv(path, header=True, escape='"')
+    """UTF-8 CSV files with a header; outer whitespace of values is kept."""
+    df.write.mode("overwrite").csv(
+        path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
 
 
 def write_report(master: DataFrame, audit: DataFrame, run_log: DataFrame, path: str) -> None:

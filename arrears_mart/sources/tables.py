@@ -7,14 +7,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from arrears_mart.functions.addresses import pad_postal_code
 from arrears_mart.functions.dates import parse_clock, parse_date
 from arrears_mart.functions.text import null_words_to_null, parse_money
-from arrears_mart.operators.unique import first_per_key
 from arrears_mart.schemas import (
     MANDATORY_SOURCES,
     PHASE2_SCHEMAS,
-    POSTAL_SCHEMA,
     SOURCE_SCHEMAS,
 )
 from arrears_mart.sources.headers import ensure_columns, normalise_source
@@ -82,12 +79,3 @@ def typed_sources(sources: dict[str, DataFrame], arrival: str | None = None) ->
 def phase2_scan(df: DataFrame, name: str) -> DataFrame:
     """Typed scan of a payments, visits or reminders table."""
     return typed_scan(df, PHASE2_SCHEMAS[name])
-
-
-def postal_catalogue(rows: DataFrame, arrival: str | None = None) -> DataFrame:
-    """Postal code, town and state, codes padded to five characters and each listed once."""
-    keep = [arrival] if arrival in rows.columns else []
-    coded = rows.select(*POSTAL_SCHEMA.fieldNames(), *keep)
-    coded = coded.withColumn("CODIGO_POSTAL", pad_postal_code(F.col("CODIGO_POSTAL")))
-    known = coded.filter(F.col("CODIGO_POSTAL").isNotNull())
-    return first_per_key(known, ["CODIGO_POSTAL"], ["POBLACION", "ESTADO"], arrival if keep else None)
