@@ -61,14 +61,19 @@ def discarded_rows(df: DataFrame, kept: DataFrame, columns: Sequence[str]) -> Da
 
 
 def repeat_rows(df: DataFrame, times: str) -> DataFrame:
-    """Each row as often as `times` says; the copies of a row with very many are spread over tasks."""
+    """Each row as often as `times` says; the copies of a row with very many are spread over tasks.
+
+    The number of tasks is stated, because adaptive execution sees only the few bytes before the copying and would
+    put them into one task.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     few = df.filter(F.col(times) <= _COPIES_PER_TASK)
     many = df.filter(F.col(times) > _COPIES_PER_TASK)
     whole, rest = F.expr(f"{times} div {_COPIES_PER_TASK}"), F.col(times) % _COPIES_PER_TASK
     chunk = F.explode(F.sequence(F.lit(0).cast("bigint"), whole)).alias("_chunk")
     chunks = many.select("*", whole.alias("_whole"), rest.alias("_rest")).select("*", chunk)
     size = F.when(F.col("_chunk") < F.col("_whole"), F.lit(_COPIES_PER_TASK).cast("bigint")).otherwise(F.col("_rest"))
-    spread = chunks.withColumn(times, size).repartition(*[c for c in df.columns if c != times], "_chunk")
+    spread = chunks.withColumn(times, size).repartition(tasks, *[c for c in df.columns if c != times], "_chunk")
     return _explode_copies(few, times).unionByName(_explode_copies(spread.select(*df.columns), times))
 
 

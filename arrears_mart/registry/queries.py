@@ -13,6 +13,7 @@ from arrears_mart.operators import audit as A
 from arrears_mart.operators import enrich as E
 from arrears_mart.operators import indicators as I
 from arrears_mart.operators import metrics as M
+from arrears_mart.operators.matching import assign_labels, score_labels
 from arrears_mart.operators.unique import first_per_key
 from arrears_mart.plans import campaign_master as C
 from arrears_mart.plans.days_master import build_days_master
@@ -857,3 +858,32 @@ def k6(spark, folder):
     path = new_stage_path(spark, "arrears-csv")
     K.write_csv(K.with_account_key(arrears, year), path)
     return spark.read.csv(path, header=True, escape='"')
+
+
+# ---- label matching ------------------------------------------------------------------------------------------
+
+_PRODUCTS = {
+    "RED_WIDGET": ("REDWIDGETS", "SCARLETWIDGET"),
+    "SMALL_RING": ("TINYRING", "RINGS"),
+    "COLD_BOLT": ("BOLT", "COLDBOLTS"),
+    "HOT_GEAR": ("GEAR",),
+    "NEW_PLATE": ("PLATES",),
+    "OLD_ANVIL": ("ANTIQUEANVIL",),
+}
+
+
+def product_labels(spark: SparkSession, folder: str) -> DataFrame:
+    """Product names as somebody typed them."""
+    part = table(spark, folder, "part")
+    brand = F.when(F.col("p_partkey") % 3 == 0, F.col("p_brand")).when(F.col("p_partkey") % 3 == 1, F.lit(""))
+    return part.select(F.concat_ws(" - ", F.initcap("p_name"), brand).alias("ETIQUETA"))
+
+
+@query("r1_label_scores")
+def r1(spark, folder):
+    return score_labels(product_labels(spark, folder), "ETIQUETA", list(_PRODUCTS), _PRODUCTS)
+
+
+@query("r2_assignment")
+def r2(spark, folder):
+    return assign_labels(spark, r1(spark, folder), list(_PRODUCTS))

@@ -12,14 +12,14 @@ _SETTING = "spark.checkpoint.dir"
 
 def stage_folder(spark: SparkSession) -> str:
     """The shared folder the cluster names; only a local session without one gets a folder of its own."""
-    folder = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {_SETTING} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="arrears-stages-")
-    spark.conf.set(_SETTING, folder)
-    return folder
+    context = spark.sparkContext
+    folder = spark.conf.get(_SETTING, None) or context.getConf().get(_SETTING) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise RuntimeError(f"set {_SETTING} to a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="arrears-stages-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def new_stage_path(spark: SparkSession, name: str) -> str:

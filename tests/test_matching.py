@@ -1,0 +1,82 @@
+import difflib
+import random
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from arrears_mart import schemas
+from arrears_mart.operators import matching
+from arrears_mart.registry import queries
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize(
+    ("field", "label", "score"),
+    [
+        ("NO_DAMA", "no. dama", 1.0),
+        ("NO_DAMA", "Folio", 0.97),
+        ("NO_DAMA", "Folio interno", 0.9),
+        ("FECHA_FACTURA", "Fecha de la factura", 0.95),
+        ("ID_COBRADOR", "Cobrador asignado", 0.9),
+        ("CODIGO_POSTAL", "CP", 0.97),
+        ("COLONIA", "xyz", 0.0),
+    ],
+)
+def test_kinds_of_match(field, label, score):
+    assert matching.label_score(field, label, schemas.own_synonyms(field)) == pytest.approx(score)
+
+
+def test_letters_decide_when_nothing_else_fits():
+    expected = 0.9 * difflib.SequenceMatcher(None, "SEGMENTO", "SEGEMNTO").ratio()
+    assert matching.label_score("SEGMENTO", "segemnto", ()) == pytest.approx(expected)
+
+
+def test_scores_of_distinct_labels(spark):
+    found = queries.r1(spark, FOLDER)
+    labels = {r.ETIQUETA for r in queries.product_labels(spark, FOLDER).collect()}
+    expected = set()
+    for label in labels:
+        for field, words in queries._PRODUCTS.items():
+            if (score := matching.label_score(field, label, words)) >= matching.THRESHOLD:
+                expected.add((field, label, score))
+    assert {tuple(r) for r in found.collect()} == expected
+    assert found.count() == len(expected) > 0
+
+
+def greedy(pairs, fields):
+    chosen, used = dict.fromkeys(fields), set()
+    for score, field, label in sorted(pairs, reverse=True):
+        if chosen[field] is None and label not in used:
+            chosen[field] = label
+            used.add(label)
+    return chosen
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.integers(0, 10_000))
+def test_assignment_is_the_greedy_one(spark, seed):
+    rng = random.Random(seed)
+    fields = [f"F{i}" for i in range(5)]
+    pairs = [(rng.choice([0.72, 0.8, 0.9, 0.97]), f, f"L{i:03d}") for f in fields for i in range(60) if rng.random() < 0.7]
+    scores = spark.createDataFrame([(f, la, s) for s, f, la in pairs], "CAMPO string, ETIQUETA string, PUNTOS double")
+    found = {r.CAMPO: r.ETIQUETA for r in matching.assign_labels(spark, scores, fields).collect()}
+    assert found == greedy(pairs, fields)
+    assert matching.contenders(scores, fields).count() <= len(fields) ** 2
+
+
+def test_headers_of_a_file_can_be_mapped(spark):
+    columns = ["Número de Dama", "Campaña", "Tel. Celular", "C.P.", "observacion"]
+    labels = spark.createDataFrame([(c,) for c in columns], ["h"])
+    fields = ["NO_DAMA", "CAMPANA_SALDO", "TELEFONO_CELULAR", "CODIGO_POSTAL", "COMENTARIO", "ZONA"]
+    scores = matching.score_labels(labels, "h", fields)
+    found = {r.CAMPO: r.ETIQUETA for r in matching.assign_labels(spark, scores, fields).collect()}
+    assert found == {
+        "NO_DAMA": None,
+        "CAMPANA_SALDO": "Campaña",
+        "TELEFONO_CELULAR": "Tel. Celular",
+        "CODIGO_POSTAL": "C.P.",
+        "COMENTARIO": "observacion",
+        "ZONA": None,
+    }
