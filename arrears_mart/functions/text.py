@@ -13,6 +13,9 @@ WHITESPACE = (
     "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 
+# Any character that is not one of them.
+_VISIBLE = r"(?U)[^\s\x1c-\x1f]"
+
 
 def strip(text: Column) -> Column:
     """Remove Unicode whitespace at both ends."""
@@ -21,12 +24,12 @@ def strip(text: Column) -> Column:
 
 def has_text(text: Column) -> Column:
     """True where something other than whitespace is present; never null."""
-    return F.coalesce(text.rlike(r"(?U)[^\s\x1c-\x1f]"), F.lit(False))
+    return F.coalesce(text.rlike(_VISIBLE), F.lit(False))
 
 
 def blank_to_null(text: Column) -> Column:
     """Null for missing or blank text; other text is kept as it is, untrimmed."""
-    return F.when(strip(text) != "", text)
+    return F.when(text.rlike(_VISIBLE), text)
 
 
 def clean_key(text: Column) -> Column:

@@ -2,22 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arrears_mart.functions.addresses import pad_postal_code, postal_code, split_address
+from arrears_mart.functions.addresses import pad_postal_code, postal_code
 from arrears_mart.functions.campaigns import campaign_last2, campaign_number
 from arrears_mart.functions.dates import call_clock
 from arrears_mart.functions.text import first_present, has_text, strip
 from arrears_mart.operators.lookups import BROADCAST_BYTES, lookup_join
-from arrears_mart.operators.unique import first_per_key, ranked_row
+from arrears_mart.operators.unique import first_per_key, latest_row_per_key, ranked_row
 from arrears_mart.schemas import ARREARS, CLIENTS, CLOCK, POSTAL_SCHEMA, ZONES, columns_of
 
-ARREARS_PREFIX = "M_"
-ADDRESS_PREFIX = "A_"
-_LAST_CONTACT = ("STATUS_GESTION", "MOTIVO_NO_COBRO", "DICTAMINACION", "COMENTARIO", "FECHA_PROMESA")
+Shape = Callable[[dict[str, Column]], dict[str, Column]]
+LAST_CONTACT = ("STATUS_GESTION", "MOTIVO_NO_COBRO", "DICTAMINACION", "COMENTARIO", "FECHA_PROMESA")
 
 
 def keyed(df: DataFrame, key: str = "NO_DAMA") -> DataFrame:
@@ -37,48 +36,52 @@ def _others(source: str, key: str) -> list[str]:
     return [c for c in columns_of(source) if c != key]
 
 
-def join_clients(df: DataFrame, clients: DataFrame, arrival: str | None = None) -> DataFrame:
-    unique = first_per_key(keyed(clients), ["NO_DAMA"], _others(CLIENTS, "NO_DAMA"), arrival_in(clients, arrival))
-    return df.join(unique, "NO_DAMA", "left")
+def _reshaped(unique: DataFrame, name: str, shape: Shape | None) -> DataFrame:
+    """The struct `name` with the fields a build wants, worked out once per kept row and before the join."""
+    if shape is None:
+        return unique
+    row = {f.name: F.col(f"{name}.{f.name}") for f in unique.schema[name].dataType}
+    return unique.withColumn(name, F.struct(*[c.alias(n) for n, c in shape(row).items()]))
+
+
+def join_clients(
+    df: DataFrame, clients: DataFrame, arrival: str | None = None, shape: Shape | None = None
+) -> DataFrame:
+    """The client of the account, as struct `CLI`."""
+    columns = _others(CLIENTS, "NO_DAMA")
+    unique = latest_row_per_key(keyed(clients), ["NO_DAMA"], (), columns, arrival_in(clients, arrival), "CLI")
+    return df.join(_reshaped(unique, "CLI", shape), "NO_DAMA", "left")
 
 
 def join_zones(
     df: DataFrame, zones: DataFrame, arrival: str | None = None, broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
-    """Region, division, route and `ID_COBRADOR` of the zone. An account without a zone matches nothing."""
+    """Region, division, route and collector of the zone, as struct `ZON`; no zone matches nothing."""
     usable = zones.filter(F.col("ZONA").isNotNull())
-    unique = first_per_key(usable, ["ZONA"], _others(ZONES, "ZONA"), arrival_in(zones, arrival))
+    unique = latest_row_per_key(usable, ["ZONA"], (), _others(ZONES, "ZONA"), arrival_in(zones, arrival), "ZON")
     return lookup_join(df, unique, "ZONA", "NO_DAMA", broadcast_bytes, measure=usable)
 
 
-def join_arrears(df: DataFrame, arrears: DataFrame, arrival: str | None = None) -> DataFrame:
-    """The first arrears row of the account, whatever its campaign; its columns get a prefix.
-
-    The parts of its address come with another prefix. The address is split here, once per arrears row.
-    """
+def join_arrears(
+    df: DataFrame, arrears: DataFrame, arrival: str | None = None, shape: Shape | None = None
+) -> DataFrame:
+    """The first arrears row of the account, whatever its campaign, as struct `MORA`."""
     columns = _others(ARREARS, "NO_DAMA")
-    unique = first_per_key(keyed(arrears), ["NO_DAMA"], columns, arrival_in(arrears, arrival))
-    parts = [c.alias(ADDRESS_PREFIX + name) for name, c in split_address(F.col("DOMICILIO")).items()]
-    prefixed = unique.select("NO_DAMA", *[F.col(c).alias(ARREARS_PREFIX + c) for c in columns], *parts)
-    return df.join(prefixed, "NO_DAMA", "left")
+    unique = latest_row_per_key(keyed(arrears), ["NO_DAMA"], (), columns, arrival_in(arrears, arrival), "MORA")
+    return df.join(_reshaped(unique, "MORA", shape), "NO_DAMA", "left")
 
 
 def contact_summary(
-    contacts: DataFrame, by_comment_date: bool, arrival: str | None = None, columns: Sequence[str] = _LAST_CONTACT
+    contacts: DataFrame, by_comment_date: bool, arrival: str | None = None, columns: Sequence[str] = LAST_CONTACT
 ) -> DataFrame:
-    """One row per account: the latest contact, the number of contacts and the time of the latest call."""
+    """One row per account: the latest contact, with the time of the call, as struct `GES`, and how many there are."""
     when = F.col("FECHA_GESTION").cast(CLOCK)
     if by_comment_date:
         when = call_clock(F.col("COMENTARIO"), when)
-    dated = keyed(contacts).withColumn("_call", when)
-    ranked = dated.select("NO_DAMA", ranked_row(["_call"], columns, arrival_in(contacts, arrival)).alias("_row"))
-    summary = ranked.groupBy("NO_DAMA").agg(F.max("_row").alias("_best"), F.count("_row").alias("NUMERO_GESTIONES"))
-    return summary.select(
-        "NO_DAMA",
-        *[F.col("_best")[c].alias(c) for c in columns],
-        F.col("_best")["_call"].alias("FECHA_ULTIMA_LLAMADA"),
-        "NUMERO_GESTIONES",
-    )
+    dated = keyed(contacts).withColumn("FECHA_ULTIMA_LLAMADA", when)
+    row = ranked_row(["FECHA_ULTIMA_LLAMADA"], columns, arrival_in(contacts, arrival))
+    ranked = dated.select("NO_DAMA", row.alias("_row"))
+    return ranked.groupBy("NO_DAMA").agg(F.max("_row").alias("GES"), F.count("_row").alias("NUMERO_GESTIONES"))
 
 
 def join_contacts(
@@ -157,9 +160,10 @@ def fill_place_by_postal_code(
     """Town and state of the postal code where they are missing; without a catalogue nothing changes."""
     if postal_codes is None:
         return df
-    rows = postal_codes.select([F.col(c).alias(f"P_{c}") for c in POSTAL_SCHEMA.fieldNames()])
-    unique = postal_catalogue(postal_codes, arrival_in(postal_codes, arrival)).toDF(*rows.columns)
-    coded = df.withColumn("P_CODIGO_POSTAL", postal_code(F.col("CODIGO_POSTAL")))
-    joined = lookup_join(coded, unique, "P_CODIGO_POSTAL", "NO_DAMA", broadcast_bytes, measure=rows)
-    filled = {c: first_present(F.col(c), F.col(f"P_{c}")) for c in ("POBLACION", "ESTADO")}
-    return joined.withColumns(filled).drop(*rows.columns)
+    rows = postal_codes.select(*POSTAL_SCHEMA.fieldNames())
+    catalogue = postal_catalogue(postal_codes, arrival_in(postal_codes, arrival))
+    unique = catalogue.select(F.col("CODIGO_POSTAL").alias("_code"), F.struct("POBLACION", "ESTADO").alias("CP"))
+    coded = df.withColumn("_code", postal_code(F.col("CODIGO_POSTAL")))
+    joined = lookup_join(coded, unique, "_code", "NO_DAMA", broadcast_bytes, measure=rows)
+    filled = {c: first_present(F.col(c), F.col(f"CP.{c}")) for c in ("POBLACION", "ESTADO")}
+    return joined.withColumns(filled).drop("_code", "CP")

@@ -27,19 +27,32 @@ def ranked_row(order: Sequence[str], payload: Sequence[str], arrival: str | None
     return F.struct(*order, *first_come, *rest)
 
 
-def latest_per_key(
+def latest_row_per_key(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str] = (),
     payload: Sequence[str] | None = None,
     arrival: str | None = None,
+    name: str = "_best",
 ) -> DataFrame:
-    """One row per key: the latest by `order` (descending, nulls last), else the first one to arrive."""
+    """The keys and the latest row of each as one struct column, which later joins copy as one value."""
     if payload is None:
         payload = [c for c in df.columns if c not in keys]
     ranked = df.select(*keys, ranked_row(order, payload, arrival).alias("_row"))
-    best = ranked.groupBy(*keys).agg(F.max("_row").alias("_best"))
-    return best.select(*keys, *[F.col("_best")[c].alias(c) for c in payload])
+    return ranked.groupBy(*keys).agg(F.max("_row").alias(name))
+
+
+def latest_per_key(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str] = (),
+    payload: Sequence[str] | None = None,
+    arrival: str | None = None,
+) -> DataFrame:
+    """One row per key: the latest by `order` (descending, nulls last), else the first one to arrive."""
+    columns = [c for c in df.columns if c not in keys] if payload is None else payload
+    best = latest_row_per_key(df, keys, order, columns, arrival)
+    return best.select(*keys, *[F.col("_best")[c].alias(c) for c in columns])
 
 
 def first_per_key(

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrears_mart.functions.addresses import ADDRESS_PARTS
+from arrears_mart.functions.addresses import split_address
 from arrears_mart.functions.balances import collector, is_expired, is_overpaid, payments, updated_balance
 from arrears_mart.functions.campaigns import (
     account_campaign_key,
@@ -16,7 +16,7 @@ from arrears_mart.functions.campaigns import (
     year_of_digits,
 )
 from arrears_mart.functions.dates import days_overdue, run_clock
-from arrears_mart.functions.text import closing_code, digits_only, first_present, has_text, join_words
+from arrears_mart.functions.text import blank_to_null, closing_code, digits_only, has_text, join_words
 from arrears_mart.operators import audit as A
 from arrears_mart.operators import enrich as E
 from arrears_mart.operators.unique import latest_per_key
@@ -37,10 +37,12 @@ from arrears_mart.sources.tables import typed_sources
 from arrears_mart.stages import stage_table
 
 LATEST_FIRST = ("FECHA_FACTURA", "FECHA_FINAL_VIGENCIA", "FECHA_CARGA")
-# Columns of the client that the arrears row completes, and those it completes from the split address as well.
-_FROM_ARREARS = ("TELEFONO_CASA", "TELEFONO_CELULAR", "DIGITO_DAMA", "SEGMENTO", "ESTADO_PROCESO", "POBLACION", "ESTADO")
-_FROM_ARREARS_OR_ADDRESS = ("COLONIA", "CODIGO_POSTAL")
+# Columns the arrears row completes, and those only the parts of its free-text address complete.
+_FROM_ARREARS = (
+    "TELEFONO_CASA TELEFONO_CELULAR DIGITO_DAMA SEGMENTO ESTADO_PROCESO POBLACION ESTADO COLONIA CODIGO_POSTAL"
+).split()
 _FROM_ADDRESS = ("CALLE", "NUMERO_EXTERIOR", "NUMERO_INTERIOR")
+_CLIENT_COLUMNS = (*_FROM_ARREARS, *_FROM_ADDRESS)
 
 
 def portfolio_facts(portfolio: DataFrame, run_year: int) -> DataFrame:
@@ -64,7 +66,7 @@ def _with_digits(df: DataFrame) -> DataFrame:
 
 def latest_accounts(portfolio: DataFrame, arrival: str | None = None) -> DataFrame:
     """The latest portfolio row of each account."""
-    payload = [c for c in columns_of(PORTFOLIO) if c != "NO_DAMA"]
+    payload = _others(PORTFOLIO, "NO_DAMA")
     return latest_per_key(E.keyed(portfolio), ["NO_DAMA"], LATEST_FIRST, payload, E.arrival_in(portfolio, arrival))
 
 
@@ -75,21 +77,47 @@ def all_accounts(portfolio: DataFrame, arrears: DataFrame, run_ts: dt.datetime,
     return E.append_new_accounts(latest, extras, run_clock(run_ts))
 
 
+def client_shape(row: dict[str, Column]) -> dict[str, Column]:
+    """Full name and the other client columns, blank text as missing."""
+    name = join_words(row["NOMBRE"], row["APELLIDO_PATERNO"], row["APELLIDO_MATERNO"])
+    rest = [c for c in _CLIENT_COLUMNS if c not in ("SEGMENTO", "ESTADO_PROCESO")]
+    return {"NOMBRE_COMPLETO": F.nullif(name, F.lit(""))} | {c: blank_to_null(row[c]) for c in rest}
+
+
+def arrears_shape(row: dict[str, Column]) -> dict[str, Column]:
+    """What an arrears row says about the client, from its columns or its free-text address, and what is copied."""
+    parts = split_address(row["DOMICILIO"])
+    shape = {c: F.coalesce(blank_to_null(row[c]), parts.get(c)) if c in parts else blank_to_null(row[c]) for c in _FROM_ARREARS}
+    shape |= {c: parts[c] for c in _FROM_ADDRESS}
+    shape |= {"NOMBRE_COMPLETO": blank_to_null(row["NOMBRE"]), "DOMICILIO": blank_to_null(row["DOMICILIO"])}
+    shape |= {"PRECIERRE": closing_code(row["PRECIERRE_1"], row["PRECIERRE_2"]), "SALDO_DAMA": row["SALDO_DAMA"]}
+    return shape | {c: row[c] for c in ARREARS_COPIED}
+
+
 def fill_gaps(df: DataFrame) -> DataFrame:
-    """Client data first, then the arrears row, then the parts of its free-text address; nothing is overwritten."""
+    """Client data first, then what the arrears row says; nothing is overwritten.
+
+    Takes the joined structs apart, so this is where rows get wide.
+    """
+
+    def of(struct: str, *names: str) -> dict[str, Column]:
+        return {n: F.col(f"{struct}.{n}") for n in names}
+
+    own = {c: blank_to_null(F.col(c)) for c in ("SEGMENTO", "ESTADO_PROCESO")} | {"SALDO_DAMA": F.col("SALDO_DAMA")}
+    own |= of("CLI", *[c for c in (*_CLIENT_COLUMNS, "NOMBRE_COMPLETO") if c not in own])
+    filled = {c: F.coalesce(mine, F.col(f"MORA.{c}")) for c, mine in own.items()}
+    filled |= of("MORA", "PRECIERRE", "DOMICILIO", *ARREARS_COPIED)
+    filled |= of("GES", *E.LAST_CONTACT) | of("ZON", "REGION", "DIVISION", "RUTA")
+    filled["FECHA_ULTIMA_LLAMADA"] = F.col("GES.FECHA_ULTIMA_LLAMADA").cast("date")
+    filled["COBRADOR_ZONA"] = F.col("ZON.ID_COBRADOR")
+    kept = [c for c in df.columns if c not in filled and c not in ("CLI", "MORA", "GES", "ZON")]
+    wide = df.select(*kept, *[c.alias(n) for n, c in filled.items()])
+    street = F.nullif(join_words(*[F.col(c) for c in _FROM_ADDRESS]), F.lit(""))
+    return wide.withColumn("DIRECCION_COMPLETA", F.coalesce(street, F.col("DOMICILIO"))).drop("DOMICILIO")
 
-    def arrears(name: str) -> Column:
-        return F.col(E.ARREARS_PREFIX + name)
 
-    parts = {c: F.col(E.ADDRESS_PREFIX + c) for c in ADDRESS_PARTS}
-    filled = {c: first_present(F.col(c), arrears(c)) for c in _FROM_ARREARS}
-    filled |= {c: first_present(F.col(c), arrears(c), parts[c]) for c in _FROM_ARREARS_OR_ADDRESS}
-    filled |= {c: first_present(F.col(c), parts[c]) for c in _FROM_ADDRESS}
-    own_name = join_words(F.col("NOMBRE"), F.col("APELLIDO_PATERNO"), F.col("APELLIDO_MATERNO"))
-    filled["NOMBRE_COMPLETO"] = first_present(own_name, arrears("NOMBRE"))
-    filled["SALDO_DAMA"] = F.coalesce(F.col("SALDO_DAMA"), arrears("SALDO_DAMA"))
-    street = {"DIRECCION_COMPLETA": first_present(join_words(*[F.col(c) for c in _FROM_ADDRESS]), arrears("DOMICILIO"))}
-    return df.withColumns(filled).withColumns(street)
+def _others(source: str, key: str) -> list[str]:
+    return [c for c in columns_of(source) if c != key]
 
 
 def add_indicators(df: DataFrame, newest: Column, run_ts: dt.datetime) -> DataFrame:
@@ -99,18 +127,13 @@ def add_indicators(df: DataFrame, newest: Column, run_ts: dt.datetime) -> DataFr
     stated = aged.withColumns(
         {
             "DIAS_MORA": days_overdue(F.col("FECHA_FACTURA"), run_ts.date()),
-            "ID_COBRADOR": collector(F.col("TEMPORALIDAD"), F.col("COBRADOR_CARTERA"), F.col("ID_COBRADOR")),
+            "ID_COBRADOR": collector(F.col("TEMPORALIDAD"), F.col("ID_COBRADOR"), F.col("COBRADOR_ZONA")),
             "SALDO_ACTUALIZADO": updated_balance(debt, paid, reported),
             "PAGOS_DAMA": payments(debt, paid, reported),
             "SOBREPAGO": is_overpaid(reported),
-            "PRECIERRE": closing_code(
-                F.col(f"{E.ARREARS_PREFIX}PRECIERRE_1"), F.col(f"{E.ARREARS_PREFIX}PRECIERRE_2")
-            ),
-            "FECHA_ULTIMA_LLAMADA": F.col("FECHA_ULTIMA_LLAMADA").cast("date"),
             "FECHA_ACTUALIZACION": run_clock(run_ts),
             ACCOUNT_KEY: account_campaign_key(F.col("NO_DAMA"), F.col("CAMPANA_SALDO")),
         }
-        | {c: F.col(E.ARREARS_PREFIX + c) for c in ARREARS_COPIED}
     )
     run_date = F.lit(run_ts.date())
     out = is_expired(F.col("FECHA_FINAL_VIGENCIA"), run_date, F.col("TEMPORALIDAD"), F.col("PAGOS_DAMA"))
@@ -126,11 +149,11 @@ def enrich_accounts(
 ) -> DataFrame:
     """All accounts with every master column, plus the flags `SOBREPAGO` and `EXCLUIDA`.
 
-    The joins on the account come first and share one partitioning of the accounts; the lookups follow.
+    The joins on the account come first and share one partitioning of the accounts; the lookups follow. Each adds a
+    struct, so the rows stay narrow until `fill_gaps`.
     """
-    own = accounts.withColumnRenamed("ID_COBRADOR", "COBRADOR_CARTERA")
-    joined = E.join_clients(own, sources[CLIENTS], arrival)
-    joined = E.join_arrears(joined, sources[ARREARS], arrival)
+    joined = E.join_clients(accounts, sources[CLIENTS], arrival, client_shape)
+    joined = E.join_arrears(joined, sources[ARREARS], arrival, arrears_shape)
     joined = E.join_contacts(joined, sources[CONTACTS], True, arrival)
     joined = E.join_balance_by_campaign_digits(joined, sources[BALANCES], arrival)
     joined = E.join_zones(joined, sources[ZONES], arrival)

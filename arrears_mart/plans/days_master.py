@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arrears_mart.functions.balances import final_balance
@@ -23,36 +23,47 @@ from arrears_mart.schemas import (
     DAYS_MASTER_COLUMNS,
     PORTFOLIO,
     ZONES,
+    columns_of,
 )
 from arrears_mart.sources.tables import typed_sources
 from arrears_mart.stages import stage_table
 
 
+def client_shape(row: dict[str, Column]) -> dict[str, Column]:
+    name = join_words(row["NOMBRE"], row["APELLIDO_PATERNO"], row["APELLIDO_MATERNO"])
+    street = join_words(row["CALLE"], row["NUMERO_EXTERIOR"], row["NUMERO_INTERIOR"])
+    return row | {"NOMBRE_COMPLETO": name, "DIRECCION_COMPLETA": street}
+
+
+def arrears_shape(row: dict[str, Column]) -> dict[str, Column]:
+    copied = {c: row[c] for c in ARREARS_COPIED}
+    return copied | {"PRECIERRE": closing_code(row["PRECIERRE_1"], row["PRECIERRE_2"])}
+
+
 def enrich_by_days(
     latest: DataFrame, sources: dict[str, DataFrame], run_ts: dt.datetime, arrival: str | None = None
 ) -> DataFrame:
     """Latest accounts with every column of the master by days."""
     # The balance join is on (account, campaign), so it goes first, while the rows are narrow.
-    joined = E.join_balance_by_campaign(latest.drop("ID_COBRADOR"), sources[BALANCES], arrival)
-    joined = E.join_clients(joined, sources[CLIENTS], arrival)
-    joined = E.join_arrears(joined, sources[ARREARS], arrival)
+    joined = E.join_balance_by_campaign(latest, sources[BALANCES], arrival)
+    joined = E.join_clients(joined, sources[CLIENTS], arrival, client_shape)
+    joined = E.join_arrears(joined, sources[ARREARS], arrival, arrears_shape)
     joined = E.join_contacts(joined, sources[CONTACTS], False, arrival)
     joined = E.join_zones(joined, sources[ZONES], arrival)
     days = days_overdue(F.col("FECHA_FACTURA"), run_ts.date())
-    return joined.withColumns(
-        {
-            "NOMBRE_COMPLETO": join_words(F.col("NOMBRE"), F.col("APELLIDO_PATERNO"), F.col("APELLIDO_MATERNO")),
-            "DIRECCION_COMPLETA": join_words(F.col("CALLE"), F.col("NUMERO_EXTERIOR"), F.col("NUMERO_INTERIOR")),
-            "SALDO_FINAL": final_balance(F.col("SALDO_DAMA"), F.col("PAGOS_DAMA")),
-            "DIAS_MORA": days,
-            "TEMPORALIDAD": age_by_days(days),
-            "PRECIERRE": closing_code(
-                F.col(f"{E.ARREARS_PREFIX}PRECIERRE_1"), F.col(f"{E.ARREARS_PREFIX}PRECIERRE_2")
-            ),
-            "FECHA_ACTUALIZACION": run_clock(run_ts),
-        }
-        | {c: F.col(E.ARREARS_PREFIX + c) for c in ARREARS_COPIED}
-    ).select(*DAYS_MASTER_COLUMNS)
+    columns = {
+        **{c: F.col(f"CLI.{c}") for c in columns_of(CLIENTS) if c != "NO_DAMA"},
+        **{c: F.col(f"MORA.{c}") for c in (*ARREARS_COPIED, "PRECIERRE")},
+        **{c: F.col(f"GES.{c}") for c in E.LAST_CONTACT},
+        **{c: F.col(f"ZON.{c}") for c in columns_of(ZONES) if c != "ZONA"},
+        "NOMBRE_COMPLETO": F.coalesce(F.col("CLI.NOMBRE_COMPLETO"), F.lit("")),
+        "DIRECCION_COMPLETA": F.coalesce(F.col("CLI.DIRECCION_COMPLETA"), F.lit("")),
+        "SALDO_FINAL": final_balance(F.col("SALDO_DAMA"), F.col("PAGOS_DAMA")),
+        "DIAS_MORA": days,
+        "TEMPORALIDAD": age_by_days(days),
+        "FECHA_ACTUALIZACION": run_clock(run_ts),
+    }
+    return joined.select(*[columns.get(c, F.col(c)).alias(c) for c in DAYS_MASTER_COLUMNS])
 
 
 def build_days_master(

@@ -9,6 +9,7 @@ import datetime as dt
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from arrears_mart.schemas import ARREARS, BALANCES, CLIENTS, CONTACTS, PORTFOLIO, ZONES
 
@@ -122,8 +123,15 @@ _SOURCE_FIXTURES = {
 }
 
 
+_schemas: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    """A test table; its schema is inferred once per path."""
+    path = f"{folder.rstrip('/')}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def fixtures(spark: SparkSession, folder: str, names: Iterable[str]) -> dict[str, DataFrame]:

@@ -307,16 +307,15 @@ def p15(spark, folder):
 )
 def j1(spark, folder):
     joined = E.join_clients(latest(spark, folder), typed(spark, folder)[CLIENTS], ARRIVAL)
-    return joined.select("NO_DAMA", "DIGITO_DAMA", "NOMBRE", "CODIGO_POSTAL")
+    return joined.select("NO_DAMA", "CLI.DIGITO_DAMA", "CLI.NOMBRE", "CLI.CODIGO_POSTAL")
 
 
 _J2_SQL = "select a.NO_DAMA, a.ZONA, REGION, DIVISION, RUTA, z.ID_COBRADOR from cart_rn a left join fx_zonas z on z.ZONA=a.ZONA where a.rn=1"
 
 
 def _zones(spark: SparkSession, folder: str, **options) -> DataFrame:
-    rows = latest(spark, folder).drop("ID_COBRADOR")
-    joined = E.join_zones(rows, typed(spark, folder)[ZONES], ARRIVAL, **options)
-    return joined.select("NO_DAMA", "ZONA", "REGION", "DIVISION", "RUTA", "ID_COBRADOR")
+    joined = E.join_zones(latest(spark, folder), typed(spark, folder)[ZONES], ARRIVAL, **options)
+    return joined.select("NO_DAMA", "ZONA", "ZON.REGION", "ZON.DIVISION", "ZON.RUTA", "ZON.ID_COBRADOR")
 
 
 @query("j2_zones", _J2_SQL)
@@ -336,7 +335,8 @@ def j2_salted(spark, folder):
 )
 def j3(spark, folder):
     joined = E.join_arrears(latest(spark, folder), normal(spark, folder)[ARREARS], ARRIVAL)
-    return joined.select("NO_DAMA", "M_CAMPANA_SALDO", "M_NOMBRE", "M_SALDO_DAMA", "SALDO_DAMA")
+    added = [F.col(f"MORA.{c}").alias(f"M_{c}") for c in ("CAMPANA_SALDO", "NOMBRE", "SALDO_DAMA")]
+    return joined.select("NO_DAMA", "SALDO_DAMA", *added)
 
 
 @query(
@@ -345,7 +345,7 @@ def j3(spark, folder):
 )
 def j4(spark, folder):
     joined = E.join_contacts(latest(spark, folder), typed(spark, folder)[CONTACTS], True, ARRIVAL)
-    return joined.select("NO_DAMA", "STATUS_GESTION", "COMENTARIO")
+    return joined.select("NO_DAMA", "GES.STATUS_GESTION", "GES.COMENTARIO")
 
 
 @query(
@@ -355,7 +355,7 @@ def j4(spark, folder):
 )
 def j5(spark, folder):
     joined = E.join_contacts(latest(spark, folder), typed(spark, folder)[CONTACTS], True, ARRIVAL)
-    return joined.select("NO_DAMA", "NUMERO_GESTIONES", "FECHA_ULTIMA_LLAMADA")
+    return joined.select("NO_DAMA", "NUMERO_GESTIONES", "GES.FECHA_ULTIMA_LLAMADA")
 
 
 @query(
@@ -443,7 +443,8 @@ def w1(spark, folder):
     "from calls_rn c join calls_n n on n.NO_DAMA=c.NO_DAMA where rn=1",
 )
 def w2(spark, folder):
-    return E.contact_summary(typed(spark, folder)[CONTACTS], True, ARRIVAL)
+    summary = E.contact_summary(typed(spark, folder)[CONTACTS], True, ARRIVAL)
+    return summary.select("NO_DAMA", "GES.FECHA_ULTIMA_LLAMADA", *[f"GES.{c}" for c in E.LAST_CONTACT], "NUMERO_GESTIONES")
 
 
 @query("w3_discarded", O.DUPLICATE)
@@ -472,7 +473,7 @@ def g1(spark, folder):
 
 @query("g2_latest_call", "select NO_DAMA, ULT as FECHA_ULTIMA_LLAMADA from calls_n")
 def g2(spark, folder):
-    return E.contact_summary(typed(spark, folder)[CONTACTS], True, ARRIVAL).select("NO_DAMA", "FECHA_ULTIMA_LLAMADA")
+    return E.contact_summary(typed(spark, folder)[CONTACTS], True, ARRIVAL).select("NO_DAMA", "GES.FECHA_ULTIMA_LLAMADA")
 
 
 def _sum(column: str) -> str:
@@ -717,8 +718,8 @@ def f9(spark, folder):
 def f18(spark, folder):
     rows = accounts(spark, folder)
     age = campaigns.age_by_campaign(F.col("CAMPANA_SALDO"), E.newest_campaign(rows))
-    zoned = E.join_zones(rows.withColumnRenamed("ID_COBRADOR", "PROPIO"), typed(spark, folder)[ZONES], ARRIVAL)
-    who = balances.collector(age, F.col("PROPIO"), F.col("ID_COBRADOR"))
+    zoned = E.join_zones(rows, typed(spark, folder)[ZONES], ARRIVAL)
+    who = balances.collector(age, F.col("ID_COBRADOR"), F.col("ZON.ID_COBRADOR"))
     return zoned.select("NO_DAMA", "CAMPANA_SALDO", who.alias("ID_COBRADOR"))
 
 
