@@ -13,13 +13,14 @@ WHITESPACE = (
     "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 
-# Any character that is not one of them.
+# Any character that is not one of them, and one of them at either end.
 _VISIBLE = r"(?U)[^\s\x1c-\x1f]"
+_WHITE_END = r"(?U)^[\s\x1c-\x1f]|[\s\x1c-\x1f]\z"
 
 
 def strip(text: Column) -> Column:
-    """Remove Unicode whitespace at both ends."""
-    return F.trim(text, F.lit(WHITESPACE))
+    """Remove Unicode whitespace at both ends; text without any, the usual case, is only looked at."""
+    return F.when(text.rlike(_WHITE_END), F.trim(text, F.lit(WHITESPACE))).otherwise(text)
 
 
 def has_text(text: Column) -> Column:

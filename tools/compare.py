@@ -66,7 +66,8 @@ def difference(df: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> str |
     found = collections.Counter(tuple(row) for row in df.select(*[f"`{n}`" for n in names]).collect())
     if expected == found:
         return None
-    return f"{found.total()} rows, expected {expected.total()}; only in Spark {list((found - expected).items())[:2]}; only in SQL {list((expected - found).items())[:2]}"
+    extra, missing = list((found - expected).items())[:2], list((expected - found).items())[:2]
+    return f"{found.total()} rows, expected {expected.total()}; only in Spark {extra}; only in SQL {missing}"
 
 
 def main(folder: str, prefixes: list[str]) -> int:
