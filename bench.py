@@ -44,6 +44,7 @@ def session() -> SparkSession:
         .config("spark.sql.shuffle.partitions", cpus if cpus.isdigit() else "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
