@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrears_mart.llm import phrase_index, simhash, toxicity
+from arrears_mart.llm import mixing, phrase_index, sharding, simhash, toxicity
+from arrears_mart.stages import stage_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -73,3 +74,74 @@ def op9(spark, folder):
     found = phrase_index.decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     digest = F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256")
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
+
+
+@query("op1_sharding")
+def op1(spark, folder):
+    placed = sharding.shard_documents(table(spark, folder, "documents").select("doc_id", "text"))
+    return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
+_WORDS_SQL = r"[x for x in regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') if x <> '']"
+
+
+def _seats_sql(name: str, units: str, group: str, unit: str, size: str) -> str:
+    """Common table expressions that deal `seats` to units by highest quotients; the last one is `name`."""
+    over = f"partition by {group}" if group else ""
+    return f"""{name}_base as (
+  select *, cast(floor(({size} * case when 2 * seats > n and total > 0 then (2 * seats - n) / total else 0 end + 1) / 2)
+    as bigint) base from (select *, count(*) over ({over}) n, cast(sum({size}) over ({over}) as double) total from {units})
+), {name}_open as (select *, seats - sum(base) over ({over}) open from {name}_base
+), {name}_asked as (
+  select *, row_number() over ({over} order by {size} / (2 * (base + more) + 1) desc, {unit}, more) place
+  from {name}_open, unnest(range(0, n + 1)) t(more) where {size} > 0
+), {name}_won as (
+  select {f"{group}, " if group else ""}{unit}, count(*) won from {name}_asked where place <= open group by all
+), {name} as (
+  select * exclude (base, n, total, open, won), base + coalesce(won, 0) quota
+  from {name}_open left join {name}_won using ({f"{group}, " if group else ""}{unit})
+)"""
+
+
+_MIX_SQL = f"""
+with sized as (
+  select doc_id, coalesce(source, '') src, source is null none, len({_WORDS_SQL}) size,
+    md5('mix|' || coalesce(cast(doc_id as varchar), '')) code from documents
+), binned as (select *, cast('0x' || substr(code, 1, 3) as integer) bin from sized
+), totals as (
+  select *, row_number() over (order by none, src) - 1 as rank from (
+    select src, none, cast(sum(size) as bigint) source_size from binned group by 1, 2)
+), weighted as (select *, case rank % 3 when 0 then 5 when 1 then 2 else 1 end weight, 3 * source_size cap from totals
+), leveled as (
+  select *, (sum(source_size) over () - coalesce(sum(cap) over (order by cap / weight, rank
+      rows between unbounded preceding and 1 preceding), 0))
+    / sum(weight) over (order by cap / weight, rank rows between current row and unbounded following) as lvl from weighted
+), goal as (
+  select src, none, rank, source_size, least(cast(cap as double), weight * max(lvl) over ()) target,
+    cast(greatest(least(64, floor(sum(source_size) over () / 10000)), 1) as bigint) tokens,
+    sum(source_size) over () everything from leveled
+), seated as (select *, cast(floor(everything / tokens + 0.5) as bigint) seats from goal
+), {_seats_sql("by_source", "seated", "", "rank", "target")}
+, shards as (
+  select src, none, bin // 256 as shard, cast(sum(size) as bigint) length from binned group by 1, 2, 3
+), shared as (
+  select s.*, b.source_size, b.target, b.tokens, b.quota seats from shards s join by_source b using (src, none)
+), {_seats_sql("dealt", "shared", "src, none", "shard", "length")}
+, placed as (
+  select *, bin // 256 as shard, coalesce(sum(size) over (partition by src, none, bin // 256 order by bin, code, doc_id, size
+    rows between unbounded preceding and 1 preceding), 0) start from binned
+), joined as (
+  select p.*, d.source_size, d.target, d.length, least(d.quota * d.tokens, 3 * d.length) take
+  from placed p join dealt d using (src, none, shard)
+)
+select doc_id, cast(size as bigint) size, source_size, target, cast(case when length = 0 then 0 else
+  (take // length) * size + greatest(least(take % length - start, size), 0) end as bigint) taken from joined
+"""
+
+
+@query("op8_mixing", _MIX_SQL)
+def op8(spark, folder):
+    docs = table(spark, folder, "documents")
+    sized = docs.select("doc_id", "source", mixing.token_size(F.col("text")).alias("size"))
+    taken = mixing.mix(stage_table(sized, "mix-sizes"))
+    return taken.select("doc_id", "size", "source_size", "target", "taken")
