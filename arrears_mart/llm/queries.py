@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrears_mart.llm import mixing, phrase_index, sharding, simhash, toxicity
+from arrears_mart.llm import mixing, phrase_index, sharding, simhash, token_counts, toxicity
 from arrears_mart.stages import stage_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -145,3 +146,9 @@ def op8(spark, folder):
     sized = docs.select("doc_id", "source", mixing.token_size(F.col("text")).alias("size"))
     taken = mixing.mix(stage_table(sized, "mix-sizes"))
     return taken.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op6_token_counts")
+def op6(spark, folder):
+    counted = token_counts.count_tokens(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > 4096)
