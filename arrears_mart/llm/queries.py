@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrears_mart.llm import mixing, phrase_index, sharding, simhash, token_counts, toxicity
+from arrears_mart.llm import line_rules, mixing, phrase_index, sharding, simhash, token_counts, toxicity
 from arrears_mart.stages import stage_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -152,3 +152,38 @@ def op8(spark, folder):
 def op6(spark, folder):
     counted = token_counts.count_tokens(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
     return counted.withColumn("over_limit", F.col("n_tokens") > 4096)
+
+
+_LINES_SQL = rf"""
+with docs as (
+  select doc_id, coalesce(source, '') host, source is null as none, coalesce(text, '') text, {_WORDS_SQL} w,
+    [x for x in string_split(coalesce(text, ''), chr(10)) if regexp_matches(x, '[^\x20\x09-\x0D]')] l from documents
+), windows as (
+  select doc_id, p, array_to_string(list_slice(w, p, p + 4), ' ') g from docs, unnest(range(1, len(w) - 3)) t(p)
+), twice as (
+  select doc_id, p from (select doc_id, p, count(*) over (partition by doc_id, g) n from windows) where n > 1
+), covered as (
+  select doc_id, count(distinct q) n from (select doc_id, unnest(range(p, p + 5)) q from twice) group by 1
+), line as (
+  select doc_id, host, none, trim(regexp_replace(translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[\x20\x09-\x0D]+', ' ', 'g')) t, len([y for y in regexp_split_to_array(x, '[\x20\x09-\x0D]+') if y <> '']) held
+  from (select doc_id, host, none, unnest(l) x from docs)
+), frequent as (
+  select host, none, t from line join (select host, none, count(*) documents from docs group by 1, 2) using (host, none)
+  group by host, none, t, documents having count(distinct doc_id) > 10 and count(distinct doc_id) > 0.001 * documents
+), removed as (
+  select doc_id, sum(held) r from line join frequent using (host, none, t) group by 1
+), base as (
+  select doc_id, cast(len(w) as bigint) n_words, cast(length(array_to_string(w, '')) as bigint) word_chars,
+    cast(length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) as bigint) n_symbols,
+    cast(len(l) - len(list_distinct(l)) as bigint) n_dup_lines, coalesce(n, 0) n_repeat_words, coalesce(r, 0) r
+  from docs left join covered using (doc_id) left join removed using (doc_id)
+)
+select * exclude r, n_words < 10 or 100 * n_repeat_words > 20 * n_words base_failed,
+  not (n_words < 10 or 100 * n_repeat_words > 20 * n_words) and n_words - r >= 0.5 * n_words kept from base
+"""
+
+
+@query("op4_line_rules", _LINES_SQL)
+def op4(spark, folder):
+    return line_rules.judge_documents(table(spark, folder, "documents")).drop("n_removed")
