@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrears_mart.llm import line_rules, mixing, phrase_index, sharding, simhash, token_counts, toxicity
+from arrears_mart.llm import line_rules, mixing, phrase_index, pii, sharding, simhash, token_counts, toxicity, url_filter
 from arrears_mart.stages import stage_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -187,3 +187,13 @@ select * exclude r, n_words < 10 or 100 * n_repeat_words > 20 * n_words base_fai
 @query("op4_line_rules", _LINES_SQL)
 def op4(spark, folder):
     return line_rules.judge_documents(table(spark, folder, "documents")).drop("n_removed")
+
+
+@query("op7_url_filter")
+def op7(spark, folder):
+    return url_filter.judge_urls(table(spark, folder, "pages")).drop("score")
+
+
+@query("op10_pii")
+def op10(spark, folder):
+    return pii.digest(pii.detect(table(spark, folder, "documents")))
