@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrears_mart.llm import line_rules, mixing, phrase_index, pii, sharding, simhash, token_counts, toxicity, url_filter
+from arrears_mart.llm import line_rules, mixing, phrase_index, pii, sharding, simhash, token_counts, toxicity, url_filter, weak_labels
 from arrears_mart.stages import stage_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -197,3 +197,9 @@ def op7(spark, folder):
 @query("op10_pii")
 def op10(spark, folder):
     return pii.digest(pii.detect(table(spark, folder, "documents")))
+
+
+@query("op3_weak_labels")
+def op3(spark, folder):
+    scored = weak_labels.score_quality(table(spark, folder, "documents").select("doc_id", "text"))
+    return scored.select("doc_id", "score", "kept")
