@@ -22,15 +22,29 @@ BASE = {
     "phone": "\\+[0-9][\\x20().0-9-]+[0-9]",
 }
 KINDS = list(BASE)
+#: The same matches without repeated groups, which in long texts would exhaust the stack: first a separator that cannot
+#: be part of a match is replaced by one sign, then character classes suffice. Starts inside a run that failed at its
+#: own start are not tried, so a long run costs one pass.
+_LOCAL, _LABEL = "A-Za-z0-9._%+-", "A-Za-z0-9-"
+_CLEARED = {
+    "email": f"(?<![{_LABEL}])\\.|\\.(?![{_LABEL}])",
+    "card": "(?<![0-9])[\\x20-]|[\\x20-](?![0-9])",
+}
+_FLAT = {
+    "email": f"(?:\\G|(?<![{_LOCAL}]))[{_LOCAL}]++@[{_LABEL}]++\\.[{_LABEL}.]++",
+    "ip": "(?<![0-9])[0-9]++\\.[0-9]++\\.[0-9]++\\.[0-9]++",
+    "card": "[0-9][0-9\\x20-]++",
+    "phone": BASE["phone"],
+}
 #: What a text must hold for the pattern to be tried.
 _NEEDED = {"email": "@", "ip": "[0-9]\\.[0-9]", "card": "[0-9][\\x20-]?[0-9]", "phone": "\\+[0-9]"}
 #: Loose patterns that propose candidates, each for the kinds it may hold; the candidates overlap. A proposal must have
 #: so many digits at least, which keeps counts and years out.
 PROPOSALS = (
-    (("email",), "@", "[^\\x00-\\x20<>\"',;()]+@[^\\x00-\\x20<>\"',;()]+", 0),
-    (("email",), " (?:at|\\(at\\)|\\[at\\]) ", "[A-Za-z0-9._%+-]+ (?:at|\\(at\\)|\\[at\\]) [A-Za-z0-9-]+(?: (?:dot|\\(dot\\)|\\[dot\\]) [A-Za-z0-9-]+)+", 0),
-    (("ip",), "[0-9]\\.[0-9]", "[0-9]+(?:\\.[0-9]+)+", 4),
-    (("card", "phone"), "[0-9][ ().-]*[0-9][ ().-]*[0-9]", "[+(]?[0-9](?:[ ().-]{0,2}[0-9])+", 7),
+    (("email",), "@", "[^\\x00-\\x20<>\"',;()@]++@[^\\x00-\\x20<>\"',;()@]++", 0),
+    (("email",), " (?:at|\\(at\\)|\\[at\\]) ", "[A-Za-z0-9._%+-]{1,64} (?:at|\\(at\\)|\\[at\\]) [A-Za-z0-9-]++(?: (?:dot|\\(dot\\)|\\[dot\\]) [A-Za-z0-9-]++){1,4}", 0),
+    (("ip",), "[0-9]\\.[0-9]", "(?<![0-9.])[0-9]++\\.[0-9][0-9.]*+", 4),
+    (("card", "phone"), "[0-9][ ().-]*[0-9][ ().-]*[0-9]", "[+(]?[0-9][0-9 ().-]*[0-9]", 7),
 )
 FEATURES = ("kind", "digits", "length", "letters", "dots", "gaps", "groups", "plus", "bracket", "at", "cue", "before", "after", "kinds_of_digit")
 _CUE = "(?i)(mail|phone|tel|call|mobile|fax|contact|address|card|visa|iban|ip|host|server)[^A-Za-z]*$"
@@ -39,14 +53,15 @@ _CONTEXT = 16
 Lambda = Callable[[Column], Column]
 
 
-def _located(text: Column, needed: str, pattern: str) -> Column:
+def _located(text: Column, needed: str, pattern: str, cleared: str | None = None) -> Column:
     """Array of (start, end, found): the leftmost matches, none overlapping; places are code points.
 
     Cutting a text at a pattern and taking the pattern out of it find the same matches, so the lengths of the pieces in
-    turn give the places.
+    turn give the places. What matches `cleared` becomes `_` before, one for one.
     """
-    gaps = F.transform(F.split(text, pattern, -1), lambda g: F.length(g))
-    pieces = F.arrays_zip(gaps.alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"))
+    searched = F.regexp_replace(text, cleared, "_") if cleared else text
+    gaps = F.transform(F.split(searched, pattern, -1), lambda g: F.length(g))
+    pieces = F.arrays_zip(gaps.alias("gap"), F.regexp_extract_all(searched, F.lit(pattern), F.lit(0)).alias("found"))
     empty = F.array().cast("array<struct<start:int,end:int,found:string>>")
 
     def add(state: Column, piece: Column) -> Column:
@@ -99,7 +114,7 @@ def _base_spans(text: Column) -> Column:
     """Array of (kind, start, end) that the base rules find; kind is its place in KINDS."""
 
     def of(i: int, kind: str) -> Column:
-        kept = F.filter(_located(text, _NEEDED[kind], BASE[kind]), _valid(kind))
+        kept = F.filter(_located(text, _NEEDED[kind], _FLAT[kind], _CLEARED.get(kind)), _valid(kind))
         return F.transform(kept, lambda m: F.struct(F.lit(i).alias("kind"), m["start"].alias("start"), m["end"].alias("end")))
 
     return F.sort_array(F.concat(*[of(i, kind) for i, kind in enumerate(KINDS)]))

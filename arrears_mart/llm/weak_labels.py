@@ -65,10 +65,8 @@ def estimate(patterns: Sequence[Sequence[int]], counts: Sequence[int], rounds: i
     """Expectation maximisation over vote patterns with their numbers of texts; heuristics vote independently given the
     class. Faults are of many kinds and a bad text mostly shows one of them, so it starts from texts with any vote for bad
     against the rest, which also settles which class is the good one."""
-    p, n = np.asarray(patterns, np.int64).reshape(len(counts), -1), np.asarray(counts, np.float64)
+    p, n = np.asarray(patterns, np.int64), np.asarray(counts, np.float64)
     heuristics = p.shape[1]
-    if not len(n):
-        return LabelModel(0.5, np.full((heuristics, 2, 3), 1 / 3))
     q = np.where((p == 0).any(axis=1), 0.1, 0.9)
     for _ in range(rounds):
         good = float(np.clip((q * n).sum() / n.sum(), _TINY, 1 - _TINY))
@@ -163,9 +161,9 @@ def fit(docs: DataFrame, most: int = 4000) -> tuple[LabelModel, Scorer]:
     voted = docs.select("text", *[c.cast("int").alias(k) for k, c in named.items()])
     patterns = voted.groupBy(*named).agg(F.count(F.lit(1)).alias("n")).collect()
     patterns = sorted(patterns, key=tuple)
-    model = estimate([list(r)[:-1] for r in patterns], [r.n for r in patterns])
     if not patterns:
-        model = LabelModel(0.5, np.full((len(named), 2, 3), 1 / 3))
+        return LabelModel(0.5, np.full((len(named), 2, 3), 1 / 3)), train([], [])
+    model = estimate([list(r)[:-1] for r in patterns], [r.n for r in patterns])
     rows = _sample(voted, voted, most).collect()
     rows = sorted(rows, key=lambda r: r.text or "")
     return model, train([r.text for r in rows], [model.posterior([r[k] for k in named]) for r in rows])
