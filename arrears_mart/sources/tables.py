@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,27 +19,58 @@ from arrears_mart.schemas import (
 from arrears_mart.sources.headers import ensure_columns, normalise_source
 
 
-def read_csv_text(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+_TOO_MANY = "_too_many"  # takes the first field beyond the header's
+
+
+def _csv(spark: SparkSession, multi_line: bool) -> DataFrameReader:
+    # An empty field stays empty here, so that only a field that is not there is null.
+    return spark.read.options(quote='"', escape='"', multiLine=multi_line, nullValue="\x01", emptyValue="", header=True)
+
+
+def _csv_of_one_header(spark: SparkSession, files: list[str], header: tuple[str, ...], multi_line: bool) -> DataFrame:
+    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(header))]).add(_TOO_MANY, T.StringType())
+    rows = _csv(spark, multi_line).schema(schema).csv(files)
+    refusal = F.raise_error(F.concat(F.lit("a row has more fields than its header: "), F.coalesce("c0", F.lit(""))))
+    rows = rows.where(F.when(F.col(_TOO_MANY).isNull(), F.lit(True)).otherwise(refusal.cast("boolean")))
+    return rows.select(*[null_words_to_null(F.col(f"c{i}")).alias(name) for i, name in enumerate(header)])
+
+
+def read_csv_text(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """A CSV file or folder with every column as text, null words as null, canonical names and clean keys.
 
-    `multi_line` allows line breaks inside quoted values, at the price of one task per file.
+    Every file is read by its own header (one small job a file finds it) and files with different headers are united by
+    column name; a column that a file does not have is null in its rows. Fields missing at the end of a row are null. A
+    row with more fields than its header ends the job instead of losing them. Line breaks inside quotes are kept, which
+    makes one task a file; large files known to have none can be read with `multi_line=False`, by many tasks.
     """
-    raw = spark.read.csv(path, header=True, quote='"', escape='"', multiLine=multi_line)
-    return normalise_source(raw.select(*[null_words_to_null(F.col(f"`{c}`")).alias(c) for c in raw.columns]))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file in sorted(_csv(spark, multi_line).csv(path).inputFiles()):
+        groups.setdefault(tuple(_csv(spark, multi_line).csv(file).columns), []).append(file)
+    parts = [normalise_source(_csv_of_one_header(spark, files, h, multi_line)) for h, files in groups.items() if h]
+    if not parts:
+        return spark.createDataFrame([], T.StructType([]))
+    return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def read_sources(
-    spark: SparkSession, folder: str, names: tuple[str, ...] = MANDATORY_SOURCES, file_format: str = "csv"
+    spark: SparkSession,
+    folder: str,
+    names: tuple[str, ...] = MANDATORY_SOURCES,
+    file_format: str = "csv",
+    **options: object,
 ) -> dict[str, DataFrame]:
-    """Every source found as `<folder>/<name>.<file_format>`; those that are not there are left out."""
+    """Every source found as `<folder>/<name>.<file_format>`; those that are not there are left out.
+
+    `options` go to the reader: `multi_line` for CSV, the format's own options otherwise.
+    """
     found = {}
     for name in names:
         path = f"{folder}/{name}.{file_format}"
         try:
             if file_format == "csv":
-                found[name] = read_csv_text(spark, path)
+                found[name] = read_csv_text(spark, path, **options)
             else:
-                found[name] = normalise_source(spark.read.format(file_format).load(path))
+                found[name] = normalise_source(spark.read.format(file_format).options(**options).load(path))
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise

@@ -29,6 +29,25 @@ def test_csv_is_text_with_null_words_as_null(spark, tmp_path):
     assert tables.drop_empty_rows(df).count() == 2
 
 
+def test_csv_files_are_read_by_their_own_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('NO_DAMA,ZONA,NOTA\n1,Z1,"line one\nline, two"\n2\n', encoding="utf-8")
+    (tmp_path / "b.csv").write_text("Zona,No. Dama\nZ9,9\n", encoding="utf-8")
+    rows = {r.NO_DAMA: (r.ZONA, r.NOTA) for r in tables.read_csv_text(spark, str(tmp_path)).collect()}
+    assert rows == {"1": ("Z1", "line one\nline, two"), "2": (None, None), "9": ("Z9", None)}
+
+
+def test_csv_rows_that_are_too_long_are_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("NO_DAMA,ZONA\n1,Z1\n2,Z2,more\n", encoding="utf-8")
+    df = tables.read_csv_text(spark, str(tmp_path / "a.csv"))
+    with pytest.raises(Exception, match="more fields than its header"):
+        df.select("NO_DAMA").collect()
+
+
+def test_options_reach_the_reader(spark, tmp_path):
+    folder = sample.write(tmp_path)
+    assert tables.read_sources(spark, folder, multi_line=False)[schemas.PORTFOLIO].count() == 6
+
+
 def test_sources_that_are_not_there_are_left_out(spark, tmp_path):
     folder = sample.write(tmp_path)
     (tmp_path / "ZONAS_ASIGNADAS.csv").unlink()
