@@ -53,6 +53,11 @@ def join_words(*texts: Column) -> Column:
     return strip(F.regexp_replace(joined, r"(?U)\s+", " "))
 
 
+def join_parts(*texts: Column) -> Column:
+    """The non-blank texts without outer whitespace, joined with single spaces; blanks inside a text stay."""
+    return F.concat_ws(" ", *[stripped(t) for t in texts])
+
+
 def first_present(*texts: Column) -> Column:
     """The first text that is not blank."""
     return F.coalesce(*[blank_to_null(t) for t in texts])

@@ -6,8 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from arrears_mart.schemas import AGE_LABELS_CAMPAIGN, MONEY
+from arrears_mart.schemas import AGE_LABELS_CAMPAIGN
 
 QUICK_VIEW_COLUMNS = (
     "NO_DAMA NOMBRE_COMPLETO ZONA ID_COBRADOR CAMPANA_SALDO SALDO_DAMA PAGOS_DAMA SALDO_FINAL "
@@ -16,7 +17,8 @@ QUICK_VIEW_COLUMNS = (
 
 
 def money_sum(column: str) -> Column:
-    return F.sum(column).cast(MONEY)
+    """A sum wide enough for any number of rows."""
+    return F.sum(column).cast(T.DecimalType(38, 2))
 
 
 def row_count(name: str) -> Column:

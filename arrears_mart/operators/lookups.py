@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 # A lookup table is broadcast up to this many bytes of text.
 BROADCAST_BYTES = 32 * 1024 * 1024
-# Beyond it, rows of one lookup key are spread over this many tasks.
-SALTS = 32
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -28,12 +26,14 @@ def lookup_join(
     """Left join of `df` to `lookup` (unique by `key`).
 
     A lookup measured to be small is broadcast, so a key with a third of `df`, or a null one, costs nothing. A
-    larger one is joined on the key and a salt taken from `spread_by`, which splits such a key over many tasks.
+    larger one is joined on the key and a salt taken from `spread_by`, which splits such a key over as many tasks as the
+    session has shuffle partitions; rows without a key are spread the same way.
     `measure` may be a frame that is cheaper to measure and never smaller than the lookup.
     """
     if measured_bytes(lookup if measure is None else measure) <= broadcast_bytes:
         return df.join(F.broadcast(lookup), key, "left")
-    salt = F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int")
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
+    tasks = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    salt = F.pmod(F.xxhash64(spread_by), F.lit(tasks)).cast("int")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(tasks - 1))).alias("_salt")
     salted = df.withColumn("_salt", salt).join(lookup.select("*", salts), [key, "_salt"], "left")
     return salted.drop("_salt")

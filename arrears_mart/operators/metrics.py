@@ -4,21 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from arrears_mart.functions.text import clean_key
-from arrears_mart.schemas import ARREARS, CLIENTS, CONTACTS, ZONES
+from arrears_mart.schemas import ARREARS, CLEANED_KEYS, CLIENTS, CONTACTS, RUN_COUNTS, TEXT, ZONES
+from arrears_mart.sources.headers import ensure_columns
 
-# Sources whose coverage is reported, with the key they are matched by.
-COVERED = ((CLIENTS, "NO_DAMA"), (ZONES, "ZONA"), (ARREARS, "NO_DAMA"), (CONTACTS, "NO_DAMA"))
+POSSIBLE_KEYS = T.StructType([T.StructField(k, TEXT) for k in CLEANED_KEYS])
+
+# Sources whose coverage is reported, with the key they are matched by and the run count that holds it.
+COVERED = (
+    (CLIENTS, "NO_DAMA", "CRUCE_CLIENTES"),
+    (ZONES, "ZONA", "CRUCE_ZONAS"),
+    (ARREARS, "NO_DAMA", "CRUCE_MORA"),
+    (CONTACTS, "NO_DAMA", "CRUCE_GESTIONES"),
+)
 
 
 def count_matches(master: DataFrame, source: DataFrame, key: str) -> DataFrame:
-    """One row: how many master rows have a key the source has, both keys cleaned.
+    """One row: how many master rows have a key the source has, both keys cleaned; 0 if the source has no such column.
 
     Master rows are counted per key first, so a key with many rows is one row in the join.
     """
     mine = master.groupBy(clean_key(F.col(key)).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
-    theirs = source.select(clean_key(F.col(key)).alias("_k")).na.drop().distinct()
+    theirs = ensure_columns(source, POSSIBLE_KEYS).select(clean_key(F.col(key)).alias("_k")).na.drop().distinct()
     return mine.join(theirs, "_k", "left_semi").agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("CRUZARON"))
 
 
@@ -26,7 +35,7 @@ def coverage(master: DataFrame, sources: dict[str, DataFrame]) -> DataFrame:
     """Matched rows and their share of the master for each covered source."""
     total = F.greatest(master.agg(F.count(F.lit(1))).scalar(), F.lit(1))
     rows = None
-    for name, key in COVERED:
+    for name, key, _ in COVERED:
         matched = count_matches(master, sources[name], key)
         row = matched.select(
             F.lit(name).alias("FUENTE"), "CRUZARON", (F.lit(100.0) * F.col("CRUZARON") / total).alias("PORCENTAJE")
@@ -35,6 +44,7 @@ def coverage(master: DataFrame, sources: dict[str, DataFrame]) -> DataFrame:
     return rows
 
 
-def clients_unmatched(coverage_rows: DataFrame) -> bool:
-    """Alarm: no master row found its client, so the account keys of the files do not fit."""
-    return coverage_rows.filter((F.col("FUENTE") == CLIENTS) & (F.col("CRUZARON") == 0)).count() > 0
+def with_coverage(counts: DataFrame, master: DataFrame, sources: dict[str, DataFrame]) -> DataFrame:
+    """The one-row `counts` with the matched rows of each covered source, every source read once."""
+    found = {count: count_matches(master, sources[name], key).scalar() for name, key, count in COVERED}
+    return counts.withColumns(found).select(*RUN_COUNTS)

@@ -19,6 +19,7 @@ from arrears_mart.functions.dates import days_overdue, run_clock
 from arrears_mart.functions.text import blank_to_null, closing_code, digits_only, has_text, join_words
 from arrears_mart.operators import audit as A
 from arrears_mart.operators import enrich as E
+from arrears_mart.operators.metrics import with_coverage
 from arrears_mart.operators.unique import latest_per_key
 from arrears_mart.plans.result import MasterResult, missing_error, stopped
 from arrears_mart.schemas import (
@@ -193,8 +194,8 @@ def build_campaign_master(
 
     `postal_codes` are catalogue rows, not necessarily unique; without them towns and states stay as they are.
     `arrival` names a numeric column with the file order of the rows; sources that have it use it to break ties.
-    With `write_stages` the enriched accounts are written once and master, audit and counts read them back; turn it
-    off when only the master is wanted.
+    With `write_stages` the account list and the enriched accounts are written once and master, audit and counts read
+    them back; turn it off when only the master is wanted, and nothing is written.
     """
     error = missing_error(sources)
     if error:
@@ -208,17 +209,22 @@ def build_campaign_master(
         typed[name] = with_normal_campaign(typed[name], facts["ANIO"])
 
     # The newest campaign must be known before any row gets its age, so this narrow table is read twice.
-    accounts = stage_table(all_accounts(typed[PORTFOLIO], typed[ARREARS], run_ts, arrival), "accounts")
+    stages: list[str] = []
+    accounts = all_accounts(typed[PORTFOLIO], typed[ARREARS], run_ts, arrival)
+    if write_stages:
+        accounts = stage_table(accounts, "accounts", stages)
     enriched = enrich_accounts(accounts, typed, run_ts, postal_codes, arrival)
     if write_stages:
-        enriched = stage_table(enriched, "enriched")
+        enriched = stage_table(enriched, "enriched", stages)
 
     kept, out = ~F.col("EXCLUIDA"), F.col("EXCLUIDA")
     checks = [A.expired_finding(out), A.no_collector_finding(kept), A.overpaid_finding(kept, F.col("SOBREPAGO"))]
     latest = accounts.filter(F.col("CARTERA_MORAS") == "")
     duplicates = A.duplicate_audit(E.keyed(typed[PORTFOLIO]), latest, A.DUPLICATE_TEXT_CAMPAIGN)
+    base = enriched.filter(kept).select(*CAMPAIGN_MASTER_COLUMNS)
     return MasterResult(
-        base=enriched.filter(kept).select(*CAMPAIGN_MASTER_COLUMNS),
+        base=base,
         audit=duplicates.unionByName(A.findings_audit(enriched, checks)),
-        metrics=run_counts(accounts, enriched, facts["REG_PROCESADOS"]),
+        metrics=with_coverage(run_counts(accounts, enriched, facts["REG_PROCESADOS"]), base, sources),
+        stages=stages,
     )

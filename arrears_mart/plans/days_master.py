@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from arrears_mart.functions.balances import final_balance
 from arrears_mart.functions.dates import age_by_days, days_overdue, run_clock
-from arrears_mart.functions.text import closing_code, join_words
+from arrears_mart.functions.text import closing_code, has_text, join_parts
 from arrears_mart.operators import audit as A
 from arrears_mart.operators import enrich as E
+from arrears_mart.operators.metrics import with_coverage
 from arrears_mart.plans.campaign_master import latest_accounts
 from arrears_mart.plans.result import MasterResult, missing_error, stopped
 from arrears_mart.schemas import (
@@ -30,8 +31,8 @@ from arrears_mart.stages import stage_table
 
 
 def client_shape(row: dict[str, Column]) -> dict[str, Column]:
-    name = join_words(row["NOMBRE"], row["APELLIDO_PATERNO"], row["APELLIDO_MATERNO"])
-    street = join_words(row["CALLE"], row["NUMERO_EXTERIOR"], row["NUMERO_INTERIOR"])
+    name = join_parts(row["NOMBRE"], row["APELLIDO_PATERNO"], row["APELLIDO_MATERNO"])
+    street = join_parts(row["CALLE"], row["NUMERO_EXTERIOR"], row["NUMERO_INTERIOR"])
     return row | {"NOMBRE_COMPLETO": name, "DIRECCION_COMPLETA": street}
 
 
@@ -78,23 +79,24 @@ def build_days_master(
     if error:
         return stopped(spark, error)
     typed = typed_sources(sources, arrival)
-    portfolio = typed[PORTFOLIO]
+    portfolio, stages = typed[PORTFOLIO], []
     latest = latest_accounts(portfolio, arrival)
     if write_stages:
-        latest = stage_table(latest, "latest")
+        latest = stage_table(latest, "latest", stages)
     base = enrich_by_days(latest, typed, run_ts, arrival)
     if write_stages:
-        base = stage_table(base, "base")
+        base = stage_table(base, "base", stages)
     duplicates = A.duplicate_audit(E.keyed(portfolio), latest, A.DUPLICATE_TEXT_DAYS)
     checks = [A.no_collector_finding(F.lit(True)), A.negative_finding()]
-    usable = E.keyed(portfolio).agg(F.count(F.lit(1))).scalar()
+    read = portfolio.agg(F.struct(F.count(F.lit(1)).alias("all"), F.count_if(has_text(F.col("NO_DAMA"))).alias("usable"))).scalar()
     metrics = base.agg(
-        portfolio.agg(F.count(F.lit(1))).scalar().alias("REG_PROCESADOS"),
+        read["all"].alias("REG_PROCESADOS"),
         F.count(F.lit(1)).alias("REG_CONSOLIDADOS"),
         F.lit(0).cast("bigint").alias("REG_NUEVOS_MORAS"),
         F.lit(0).cast("bigint").alias("REG_EXCLUIDOS_VIGENCIA"),
         (
-            F.max(usable) - F.count(F.lit(1)) + F.count_if(A.without_collector()) + F.count_if(F.col("SALDO_FINAL") < 0)
+            F.max(read["usable"]) - F.count(F.lit(1)) + F.count_if(A.without_collector()) + F.count_if(F.col("SALDO_FINAL") < 0)
         ).alias("REG_CON_ERROR"),
     )
-    return MasterResult(base, duplicates.unionByName(A.findings_audit(base, checks)), metrics)
+    audit = duplicates.unionByName(A.findings_audit(base, checks))
+    return MasterResult(base, audit, with_coverage(metrics, base, sources), stages=stages)

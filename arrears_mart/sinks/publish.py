@@ -1,46 +1,52 @@
 """Writing a run: master, audit, run log, exports.
 
-A run writes its master to a folder of its own. Its success row in the run log, written last, is what makes
-readers use that folder, so a failed or repeated run never leaves a half-written master behind.
+Every attempt at a run writes to a folder of its own, which nothing overwrites. Its success row in the run log, written
+last, carries that folder and is what makes readers use it. An attempt that fails, or whose driver dies, leaves the
+results of the attempts before it as they were, also if it repeats a run.
 """
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from arrears_mart.functions.campaigns import account_campaign_key, campaign_year, normalise_campaign
 from arrears_mart.functions.dates import display_date, run_clock
 from arrears_mart.operators.audit import stamp_audit
 from arrears_mart.plans.result import MasterResult
-from arrears_mart.schemas import ACCOUNT_KEY, ACCOUNT_KEY_EXPORTED, EXPORTED_DATES, RUN_LOG_SCHEMA
+from arrears_mart.schemas import ACCOUNT_KEY, ACCOUNT_KEY_EXPORTED, EXPORTED_DATES, RUN_COUNTS, RUN_LOG_SCHEMA
+from arrears_mart.stages import remove_paths
 
 PROCESS_NAME = "MASTER_ACCOUNTS"
 OPEN, SUCCESS, FAILURE = "EN_PROCESO", "EXITO", "ERROR"
-_COUNTS = ("REG_PROCESADOS", "REG_CONSOLIDADOS", "REG_NUEVOS_MORAS", "REG_EXCLUIDOS_VIGENCIA", "REG_CON_ERROR")
+_COUNTS = RUN_COUNTS
 
 
-def master_path(root: str, run_id: int) -> str:
-    return f"{root}/master/run-{run_id}"
+def new_attempt(root: str, run_id: int) -> str:
+    """A folder no other attempt has."""
+    return f"{root}/runs/run-{run_id}-{uuid.uuid4().hex}"
 
 
-def write_master(base: DataFrame, root: str, run_id: int) -> None:
-    """Write the master of one run, rows sorted by account within files so readers can skip row groups."""
-    base.sortWithinPartitions("NO_DAMA").write.mode("overwrite").parquet(master_path(root, run_id))
+def write_master(base: DataFrame, attempt: str) -> None:
+    """Write a master, rows sorted by account within files so readers can skip row groups."""
+    base.sortWithinPartitions("NO_DAMA").write.parquet(f"{attempt}/master")
 
 
-def write_audit(audit: DataFrame, root: str, run_id: int, moment: dt.datetime) -> None:
-    """Add the audit rows of one run; repeating the run replaces its own rows only."""
-    stamped = stamp_audit(audit, run_id, run_clock(moment)).drop("ID_EJECUCION")
-    stamped.write.mode("overwrite").parquet(f"{root}/audit/ID_EJECUCION={run_id}")
+def write_audit(audit: DataFrame, attempt: str, run_id: int, moment: dt.datetime) -> None:
+    stamp_audit(audit, run_id, run_clock(moment)).write.parquet(f"{attempt}/audit")
 
 
 def read_audit(spark: SparkSession, root: str) -> DataFrame:
-    audit = spark.read.parquet(f"{root}/audit")
-    return audit.withColumn("ID_EJECUCION", F.col("ID_EJECUCION").cast("bigint"))
+    """The audit rows of every run, from its latest successful attempt. There is one folder per run to look up."""
+    paths = [f"{r.RUTA}/audit" for r in _successes(spark, root).select("RUTA").collect()]
+    if not paths:
+        raise ValueError(f"no successful run under {root}")
+    return spark.read.parquet(*paths)
 
 
 def log_row(
@@ -51,6 +57,7 @@ def log_row(
     ended: dt.datetime | None = None,
     metrics: DataFrame | None = None,
     message: str | None = None,
+    attempt: str | None = None,
 ) -> DataFrame:
     """One run-log row; counts come from the one-row `metrics` frame."""
     counts = metrics if metrics is not None else spark.range(1).select(*[F.lit(None).alias(c) for c in _COUNTS])
@@ -61,6 +68,7 @@ def log_row(
         "FECHA_FIN": run_clock(ended) if ended else F.lit(None),
         "ESTATUS": F.lit(status),
         "MENSAJE": F.lit(message),
+        "RUTA": F.lit(attempt),
     }
     if status == SUCCESS and message is None:
         values["MENSAJE"] = F.format_string(
@@ -80,18 +88,34 @@ def read_run_log(spark: SparkSession, root: str) -> DataFrame:
     return rows.groupBy(F.col("ID_EJECUCION").alias("_id")).agg(last).select(*[f"_r.{f}" for f in RUN_LOG_SCHEMA.fieldNames()])
 
 
+def _successes(spark: SparkSession, root: str) -> DataFrame:
+    """(ID_EJECUCION, RUTA): the latest successful attempt of each run, whatever later attempts came to."""
+    done = spark.read.schema(RUN_LOG_SCHEMA).parquet(f"{root}/run_log").filter(F.col("ESTATUS") == SUCCESS)
+    last = F.max(F.struct("FECHA_FIN", "RUTA")).alias("_r")
+    return done.groupBy("ID_EJECUCION").agg(last).select("ID_EJECUCION", "_r.RUTA")
+
+
+def _current(spark: SparkSession, root: str) -> Row:
+    return _successes(spark, root).agg(F.max(F.struct("ID_EJECUCION", "RUTA")).alias("r")).first().r
+
+
 def current_run(spark: SparkSession, root: str) -> int | None:
-    """The newest successful run."""
-    done = read_run_log(spark, root).filter(F.col("ESTATUS") == SUCCESS)
-    return done.agg(F.max("ID_EJECUCION")).first()[0]
+    """The newest run with a successful attempt."""
+    found = _current(spark, root)
+    return found.ID_EJECUCION if found else None
+
+
+def master_path(spark: SparkSession, root: str) -> str:
+    """Where the master of the newest successful run is."""
+    found = _current(spark, root)
+    if found is None:
+        raise ValueError(f"no successful run under {root}")
+    return f"{found.RUTA}/master"
 
 
 def read_master(spark: SparkSession, root: str) -> DataFrame:
     """The master of the newest successful run."""
-    run_id = current_run(spark, root)
-    if run_id is None:
-        raise ValueError(f"no successful run under {root}")
-    return spark.read.parquet(master_path(root, run_id))
+    return spark.read.parquet(master_path(spark, root))
 
 
 def point_table(spark: SparkSession, table: str, path: str) -> None:
@@ -112,22 +136,37 @@ def publish_run(
     clock: Callable[[], dt.datetime] = dt.datetime.now,
     table: str | None = None,
 ) -> MasterResult:
-    """Run `build` and write its results; the run log gets a row at the start and one at the end, also on failure."""
-    append_log(log_row(spark, run_id, OPEN, started), root)
+    """Run `build` and write its results; the run log gets a row at the start and one at the end, also on failure.
+
+    A failure row names the step that failed. The success row comes last of what can fail the run; a catalogue table
+    that cannot be pointed at the master afterwards raises, and the run stays successful. Stage tables of the build go
+    after success.
+    """
+    attempt, step = new_attempt(root, run_id), "inicio"
+    append_log(log_row(spark, run_id, OPEN, started, attempt=attempt), root)
     try:
+        step = "construir base maestra"
         result = build()
         if result.status != SUCCESS:
-            append_log(log_row(spark, run_id, FAILURE, started, clock(), result.metrics, "; ".join(result.errors)), root)
+            message = f"ERROR en {step}: {'; '.join(result.errors)}"
+            append_log(log_row(spark, run_id, FAILURE, started, clock(), result.metrics, message, attempt), root)
             return result
-        write_master(result.base, root, run_id)
-        write_audit(result.audit, root, run_id, started)
-        append_log(log_row(spark, run_id, SUCCESS, started, clock(), result.metrics), root)
-        if table:
-            point_table(spark, table, master_path(root, run_id))
-        return result
+        step = "escribir base maestra"
+        write_master(result.base, attempt)
+        step = "escribir auditoria"
+        write_audit(result.audit, attempt, run_id, started)
+        step = "contar resultados"
+        append_log(log_row(spark, run_id, SUCCESS, started, clock(), result.metrics, attempt=attempt), root)
     except Exception as error:
-        append_log(log_row(spark, run_id, FAILURE, started, clock(), message=str(error)), root)
+        message = f"ERROR en {step}: {error}"
+        append_log(log_row(spark, run_id, FAILURE, started, clock(), message=message, attempt=attempt), root)
         raise
+    if table:
+        point_table(spark, table, f"{attempt}/master")
+    published = dataclasses.replace(result, base=spark.read.parquet(f"{attempt}/master"), audit=spark.read.parquet(f"{attempt}/audit"))
+    counts = read_run_log(spark, root).filter(F.col("ID_EJECUCION") == run_id).select(*_COUNTS)
+    remove_paths(spark, result.stages)
+    return dataclasses.replace(published, metrics=counts, stages=[])
 
 
 def export_view(master: DataFrame) -> DataFrame:

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,14 +11,13 @@ _SETTING = "spark.checkpoint.dir"
 
 
 def stage_folder(spark: SparkSession) -> str:
-    """The shared folder the cluster names; only a local session without one gets a folder of its own."""
+    """The shared folder the session names; where it names none, one in its warehouse, which is shared as well."""
     context = spark.sparkContext
     folder = spark.conf.get(_SETTING, None) or context.getConf().get(_SETTING) or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
-            raise RuntimeError(f"set {_SETTING} to a folder that all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="arrears-stages-"))
-        folder = context.getCheckpointDir()
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stages"
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 
@@ -26,8 +25,17 @@ def new_stage_path(spark: SparkSession, name: str) -> str:
     return f"{stage_folder(spark)}/arrears_mart/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
-def stage_table(df: DataFrame, name: str) -> DataFrame:
-    """`df` written as Parquet and read back with its own schema."""
+def stage_table(df: DataFrame, name: str, made: list[str] | None = None) -> DataFrame:
+    """`df` written as Parquet and read back with its own schema; the new folder is added to `made`."""
     path = new_stage_path(df.sparkSession, name)
+    if made is not None:
+        made.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_paths(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete folders that nobody reads any more, wherever Spark keeps them."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

@@ -2,7 +2,6 @@ import datetime as dt
 
 import pytest
 import sample
-from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from arrears_mart.operators import indicators
@@ -39,7 +38,7 @@ def test_runs_replace_the_master_and_add_to_audit_and_log(spark, sources, tmp_pa
     row = indicators.newest_run(log).first()
     assert (row.ID_EJECUCION, row.ESTATUS, row.REG_PROCESADOS, row.REG_CONSOLIDADOS, row.REG_CON_ERROR) == (2, "EXITO", 6, 5, 3)
     assert (row.FECHA_INICIO, row.FECHA_FIN, row.MENSAJE) == (START, end(), "Proceso completado. Consolidados=5, Incidencias=3.")
-    assert [r.NO_DAMA for r in indicators.latest_audit(audit, log, "SALDO_NEGATIVO").collect()] == ["0004"]
+    assert [r.NO_DAMA for r in indicators.latest_audit(audit, log, "SALDO_NEGATIVO").collect()] == ["7104"]
     assert indicators.latest_audit(audit, log).count() == 3
 
 
@@ -56,7 +55,7 @@ def test_a_failed_run_leaves_the_last_master_in_place(spark, sources, tmp_path):
     assert K.current_run(spark, root) == 1
     assert K.read_master(spark, root).count() == 5
     failed = indicators.failed_runs(K.read_run_log(spark, root)).collect()
-    assert [(r.ID_EJECUCION, r.MENSAJE) for r in failed] == [(3, "nothing to read"), (2, "no space")]
+    assert [(r.ID_EJECUCION, r.MENSAJE) for r in failed] == [(3, "ERROR en construir base maestra: nothing to read"), (2, "ERROR en construir base maestra: no space")]
 
 
 def test_no_successful_run(spark, sources, tmp_path):
@@ -65,24 +64,60 @@ def test_no_successful_run(spark, sources, tmp_path):
         K.read_master(spark, str(tmp_path))
 
 
-def test_a_table_is_pointed_at_the_newest_run(spark, sources, tmp_path):
+def test_a_failed_or_lost_repeat_leaves_the_run_readable(spark, sources, tmp_path):
     root = str(tmp_path)
     run(spark, sources, root, 1)
-    K.point_table(spark, "published_master", K.master_path(root, 1))
+
+    def breaks_while_writing():
+        result = build_days_master(spark, sources, START)
+        result.audit = result.audit.withColumn("NIVEL", F.raise_error(F.lit("disk is full")).cast("string"))
+        return result
+
+    with pytest.raises(Exception, match="disk is full"):
+        K.publish_run(spark, breaks_while_writing, root, 1, START, end)
+    # A driver that dies leaves an open row and a part of a folder.
+    lost = K.new_attempt(root, 1)
+    K.append_log(K.log_row(spark, 1, K.OPEN, START, attempt=lost), root)
+    spark.range(1).write.parquet(f"{lost}/master")
+    assert K.current_run(spark, root) == 1
+    assert K.read_master(spark, root).count() == 5
+    assert K.read_audit(spark, root).count() == 3
+    log = spark.read.schema(K.RUN_LOG_SCHEMA).parquet(f"{root}/run_log")
+    assert log.filter("ESTATUS = 'ERROR'").first().MENSAJE.startswith("ERROR en escribir auditoria: ")
+
+
+def test_a_table_is_pointed_at_the_newest_run(spark, sources, tmp_path):
+    root = str(tmp_path)
+    for run_id in (1, 2):
+        K.publish_run(spark, lambda: build_days_master(spark, sources, START), root, run_id, START, end, table="published_master")
     assert spark.table("published_master").count() == 5
-    spark.table("published_master").filter("NO_DAMA = '0001'").write.parquet(K.master_path(root, 2))
-    K.point_table(spark, "published_master", K.master_path(root, 2))
-    assert spark.table("published_master").count() == 1
+    assert "run-2-" in spark.table("published_master").inputFiles()[0]
     spark.sql("drop table published_master")
 
 
+def test_a_table_that_cannot_be_pointed_does_not_undo_the_run(spark, sources, tmp_path):
+    root = str(tmp_path)
+    with pytest.raises(Exception):
+        K.publish_run(spark, lambda: build_days_master(spark, sources, START), root, 1, START, end, table="no such name!")
+    assert K.current_run(spark, root) == 1
+
+
+def test_stages_go_after_success(spark, sources, tmp_path):
+    made = build_days_master(spark, sources, START)
+    assert made.stages and not build_days_master(spark, sources, START, write_stages=False).stages
+    published = K.publish_run(spark, lambda: made, str(tmp_path), 1, START, end)
+    assert published.stages == [] and published.base.count() == 5 and published.metrics.first().REG_CONSOLIDADOS == 5
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(made.stages[0])
+
+
 def test_exports(spark, sources, tmp_path):
     result = build_days_master(spark, sources, START)
     log = K.log_row(spark, 1, K.SUCCESS, START, end(), result.metrics)
     K.write_report(result.base, result.audit, log, str(tmp_path / "report"))
     master = spark.read.csv(str(tmp_path / "report/MASTER"), header=True)
-    first = master.filter("NO_DAMA = '0001'").first()
-    assert (first.FECHA_FACTURA, first.FECHA_PROMESA, first.SALDO_FINAL) == ("01/03/2026", "15/07/2026", "1200.00")
+    first = master.filter("NO_DAMA = '7101'").first()
+    assert (first.FECHA_FACTURA, first.FECHA_PROMESA, first.SALDO_FINAL) == ("11/02/2026", "20/07/2026", "1750.00")
     assert spark.read.csv(str(tmp_path / "report/AUDITORIA_RECHAZOS"), header=True).count() == 3
     assert spark.read.csv(str(tmp_path / "report/BITACORA"), header=True).first().REG_CON_ERROR == "3"
 
@@ -98,9 +133,3 @@ def test_account_key_uses_the_normal_campaign(spark):
     keys = [r[K.ACCOUNT_KEY_EXPORTED] for r in K.with_account_key(arrears, 2026).collect()]
     assert keys == ["7663231-09", "7665522-12", "1-"]
     assert K.with_account_key(arrears.drop("CAMPANA_SALDO"), 2026).first()[K.ACCOUNT_KEY_EXPORTED] is None
-
-
-def test_rows_can_be_counted_on_the_way(spark):
-    seen = Observation("rows")
-    spark.range(7).observe(seen, F.count(F.lit(1)).alias("n")).collect()
-    assert seen.get == {"n": 7}
