@@ -30,6 +30,11 @@ def words(*xs: str) -> str:
     return "trim(regexp_replace(concat_ws(' '," + ",".join(f"nullif(trim({x}),'')" for x in xs) + r"),'\s+',' ','g'))"
 
 
+def parts(*xs: str) -> str:
+    """Joined without touching the blanks inside a text."""
+    return "concat_ws(' '," + ",".join(f"nullif(trim({x}),'')" for x in xs) + ")"
+
+
 def rank(cte: str, keys: str, order: str) -> str:
     return f"select *, row_number() over (partition by {keys} order by {order}) as rn from {cte}"
 
@@ -85,21 +90,28 @@ def address(x: str) -> str:
     )
 
 
-def nulls(names: str, kind: str = "varchar") -> str:
-    return ", ".join(f"cast(null as {kind}) as {n}" for n in names.split())
-
-
 PADDED = "case when length(trim(CODIGO_POSTAL))<5 then lpad(trim(CODIGO_POSTAL),5,'0') else trim(CODIGO_POSTAL) end"
 _PORTFOLIO_COLUMNS = (
     "FECHA_FACTURA, FECHA_INICIAL_VIGENCIA, FECHA_FINAL_VIGENCIA, SEGMENTO, ESTADO_PROCESO, SALDO_DAMA, PAGOS_DAMA"
 )
 _SITUATION = "ID_SITUACION DESC_SITUACION ID_SITUACION_CIE DESC_SITUACION_CIE TIPO_NOMBRAMIENTO"
-_NEVER_SET = f"{_SITUATION} MOTIVO_NO_COBRO DICTAMINACION PRIMERA_ORDEN REACTIVACION CANCELACION GEOLOCALIZACION"
+_CLOSING = "PRIMERA_ORDEN REACTIVACION CANCELACION GEOLOCALIZACION"
+
+
+def of(alias: str, names: str) -> str:
+    return ", ".join(f"{alias}.{n}" for n in names.split())
+
+
+def filled(names: str) -> str:
+    """The client's value, else the arrears row's."""
+    return ", ".join(f"coalesce({text(f'c.{n}')}, {text(f'm.{n}')}) as {n}" for n in names.split())
+
+
 
 _CTES |= {
     "ref": f"select max(cast(left(d,length(d)-2) as bigint)) as y from (select {digits('CAMPANA_SALDO')} as d from fx_cartera) t where length(d)>=5",
     "cart": f"select *, {campaign('CAMPANA_SALDO')} as CAMP from fx_cartera where trim(NO_DAMA)<>''",
-    "cart_rn": rank("cart", "NO_DAMA", "FECHA_FACTURA desc nulls last, FECHA_FINAL_VIGENCIA desc nulls last, ORD"),
+    "cart_rn": rank("cart", "NO_DAMA", "FECHA_FACTURA desc nulls last, FECHA_FINAL_VIGENCIA desc nulls last, FECHA_CARGA desc nulls last, ORD"),
     "mora_n": f"select *, {campaign('CAMPANA_SALDO')} as CAMP from fx_mora where trim(NO_DAMA)<>''",
     "missing_rn": rank(
         "(select * from mora_n m where CAMP is not null and not exists (select 1 from cart_rn c where c.rn=1 "
@@ -108,7 +120,7 @@ _CTES |= {
         "ORD",
     ),
     "acc": f"select NO_DAMA, ID_COBRADOR as COB, ZONA, CAMP as CAMPANA_SALDO, {_PORTFOLIO_COLUMNS}, '' as CARTERA_MORAS, "
-    "cast(null as timestamp) as FECHA_CARGA from cart_rn where rn=1 "
+    "FECHA_CARGA from cart_rn where rn=1 "
     "union all select NO_DAMA, null, ZONA, CAMP, null, null, null, null, null, null, null, 'NUEVA', "
     f"{RUN_TS} from missing_rn where rn=1",
     "mora_rn": rank("fx_mora", "NO_DAMA", "ORD"),
@@ -121,14 +133,18 @@ _CTES |= {
     ),
     "cp_rn": rank(f"(select {PADDED} as CODIGO, POBLACION, ESTADO, ORD from fx_cp)", "CODIGO", "ORD"),
     "newest": f"select max(try_cast({digits('CAMPANA_SALDO')} as bigint)) as n from acc",
-    "filled": f"""select z.REGION, z.DIVISION, a.ZONA, z.RUTA, z.ID_COBRADOR as ZCOB, a.COB, a.NO_DAMA, c.DIGITO_DAMA,
+    "filled": f"""select z.REGION, z.DIVISION, a.ZONA, z.RUTA, z.ID_COBRADOR as ZCOB, a.COB, a.NO_DAMA,
+ {filled('DIGITO_DAMA POBLACION ESTADO TELEFONO_CASA TELEFONO_CELULAR')},
  coalesce(nullif({words('c.NOMBRE', 'c.APELLIDO_PATERNO', 'c.APELLIDO_MATERNO')},''), {text('m.NOMBRE')}) as NOMBRE_COMPLETO,
  coalesce({text('c.CALLE')}, m.A_CALLE) as CALLE,
  coalesce({text('c.NUMERO_EXTERIOR')}, m.A_NUMERO_EXTERIOR) as NUMERO_EXTERIOR,
  coalesce({text('c.NUMERO_INTERIOR')}, m.A_NUMERO_INTERIOR) as NUMERO_INTERIOR, m.DOMICILIO,
- m.A_COLONIA as COLONIA, coalesce({text('c.CODIGO_POSTAL')}, m.A_CODIGO_POSTAL) as CODIGO_POSTAL,
- a.CAMPANA_SALDO, a.FECHA_FACTURA, a.FECHA_INICIAL_VIGENCIA, a.FECHA_FINAL_VIGENCIA, {text('a.SEGMENTO')} as SEGMENTO,
- {text('a.ESTADO_PROCESO')} as ESTADO_PROCESO, coalesce(a.SALDO_DAMA, m.SALDO_DAMA) as DEUDA, a.PAGOS_DAMA as PAGADO,
+ coalesce({text('c.COLONIA')}, {text('m.COLONIA')}, m.A_COLONIA) as COLONIA,
+ coalesce({text('c.CODIGO_POSTAL')}, {text('m.CODIGO_POSTAL')}, m.A_CODIGO_POSTAL) as CODIGO_POSTAL,
+ a.CAMPANA_SALDO, a.FECHA_FACTURA, a.FECHA_INICIAL_VIGENCIA, a.FECHA_FINAL_VIGENCIA,
+ coalesce({text('a.SEGMENTO')}, {text('m.SEGMENTO')}) as SEGMENTO,
+ coalesce({text('a.ESTADO_PROCESO')}, {text('m.ESTADO_PROCESO')}) as ESTADO_PROCESO, {of('m', _SITUATION)}, {of('m', _CLOSING)},
+ l.MOTIVO_NO_COBRO, l.DICTAMINACION, l.FECHA_PROMESA, coalesce(a.SALDO_DAMA, m.SALDO_DAMA) as DEUDA, a.PAGOS_DAMA as PAGADO,
  s.SALDO_ACTUALIZADO as S, {age('a.CAMPANA_SALDO', '(select n from newest)')} as TEMPORALIDAD,
  {overdue('a.FECHA_FACTURA')} as DIAS_MORA, l.STATUS_GESTION, l.COMENTARIO, cast(n.ULT as date) as FECHA_ULTIMA_LLAMADA,
  coalesce(n.N,0) as NUMERO_GESTIONES, m.PRECIERRE_1, m.PRECIERRE_2, a.CARTERA_MORAS, a.FECHA_CARGA
@@ -140,14 +156,16 @@ _CTES |= {
  cast(case when S is null then greatest(coalesce(DEUDA,0)-coalesce(PAGADO,0),0) else greatest(S,0) end as decimal(18,2)) as SALDO,
  cast(case when S is null then coalesce(PAGADO,0) else greatest(coalesce(DEUDA,0)-greatest(S,0),0) end as decimal(18,2)) as PAGOS,
  case when TEMPORALIDAD='Inactivas' then coalesce({text('COB')},{text('ZCOB')}) else coalesce({text('ZCOB')},{text('COB')}) end as ID_COBRADOR,
- p.POBLACION, p.ESTADO, coalesce(S<0,false) as SOBREPAGO
+ p.POBLACION as CP_POBLACION, p.ESTADO as CP_ESTADO, coalesce(S<0,false) as SOBREPAGO
  from filled f left join cp_rn p on p.rn=1 and length({digits('f.CODIGO_POSTAL')})>=5 and p.CODIGO=right({digits('f.CODIGO_POSTAL')},5)""",
     "enriched": f"""select REGION, DIVISION, ZONA, RUTA, ID_COBRADOR, NO_DAMA, DIGITO_DAMA, NOMBRE_COMPLETO, CALLE, NUMERO_EXTERIOR,
  NUMERO_INTERIOR, coalesce(nullif({words('CALLE', 'NUMERO_EXTERIOR', 'NUMERO_INTERIOR')},''), {text('DOMICILIO')}) as DIRECCION_COMPLETA,
- COLONIA, CODIGO_POSTAL, POBLACION, ESTADO, {nulls('TELEFONO_CASA TELEFONO_CELULAR')}, CAMPANA_SALDO, FECHA_FACTURA,
+ COLONIA, CODIGO_POSTAL, coalesce(POBLACION, CP_POBLACION) as POBLACION, coalesce(ESTADO, CP_ESTADO) as ESTADO,
+ TELEFONO_CASA, TELEFONO_CELULAR, CAMPANA_SALDO, FECHA_FACTURA,
  FECHA_INICIAL_VIGENCIA, FECHA_FINAL_VIGENCIA, SEGMENTO, ESTADO_PROCESO, DEUDA as SALDO_DAMA, PAGOS as PAGOS_DAMA,
- SALDO as SALDO_ACTUALIZADO, TEMPORALIDAD, DIAS_MORA, {nulls(_NEVER_SET)}, STATUS_GESTION, COMENTARIO, FECHA_ULTIMA_LLAMADA,
- NUMERO_GESTIONES, {nulls('FECHA_PROMESA', 'date')}, coalesce(nullif(trim(PRECIERRE_2),''),nullif(trim(PRECIERRE_1),'')) as PRECIERRE,
+ SALDO as SALDO_ACTUALIZADO, TEMPORALIDAD, DIAS_MORA, {', '.join(_SITUATION.split())}, {', '.join(_CLOSING.split())},
+ MOTIVO_NO_COBRO, DICTAMINACION, STATUS_GESTION, COMENTARIO, FECHA_ULTIMA_LLAMADA,
+ NUMERO_GESTIONES, FECHA_PROMESA, coalesce(nullif(trim(PRECIERRE_2),''),nullif(trim(PRECIERRE_1),'')) as PRECIERRE,
  PRECIERRE_1, PRECIERRE_2, NO_DAMA||'-'||right(CAMPANA_SALDO,2) as LLAVE_DAMA_CAMPANA, CARTERA_MORAS, FECHA_CARGA,
  {RUN_TS} as FECHA_ACTUALIZACION, SOBREPAGO,
  case when FECHA_FINAL_VIGENCIA is null or FECHA_FINAL_VIGENCIA>={RUN_DATE} then false
@@ -217,15 +235,16 @@ _CTES |= {
     "contacts_n": "select NO_DAMA, count(*) as N from fx_arabela group by NO_DAMA",
     "exact_rn": rank("fx_saldos", "NO_DAMA, CAMPANA_SALDO", "ORD"),
     "m2": f"""select z.REGION, z.DIVISION, t.ZONA, z.RUTA, z.ID_COBRADOR, t.NO_DAMA, c.DIGITO_DAMA,
- {words('c.NOMBRE', 'c.APELLIDO_PATERNO', 'c.APELLIDO_MATERNO')} as NOMBRE_COMPLETO,
- {words('c.CALLE', 'c.NUMERO_EXTERIOR', 'c.NUMERO_INTERIOR')} as DIRECCION_COMPLETA, {nulls('COLONIA')}, c.CODIGO_POSTAL,
- {nulls('POBLACION ESTADO TELEFONO_CASA TELEFONO_CELULAR')}, t.CAMPANA_SALDO, t.FECHA_FACTURA, t.FECHA_INICIAL_VIGENCIA,
+ {parts('c.NOMBRE', 'c.APELLIDO_PATERNO', 'c.APELLIDO_MATERNO')} as NOMBRE_COMPLETO,
+ {parts('c.CALLE', 'c.NUMERO_EXTERIOR', 'c.NUMERO_INTERIOR')} as DIRECCION_COMPLETA, c.COLONIA, c.CODIGO_POSTAL,
+ c.POBLACION, c.ESTADO, c.TELEFONO_CASA, c.TELEFONO_CELULAR, t.CAMPANA_SALDO, t.FECHA_FACTURA, t.FECHA_INICIAL_VIGENCIA,
  t.FECHA_FINAL_VIGENCIA, t.SEGMENTO, t.ESTADO_PROCESO, t.SALDO_DAMA, t.PAGOS_DAMA, s.SALDO_ACTUALIZADO,
  cast(coalesce(t.SALDO_DAMA,0)-coalesce(t.PAGOS_DAMA,0) as decimal(18,2)) as SALDO_FINAL,
  {overdue_label(overdue('t.FECHA_FACTURA'))} as TEMPORALIDAD, {overdue('t.FECHA_FACTURA')} as DIAS_MORA,
- {nulls(_NEVER_SET)}, l.STATUS_GESTION, coalesce(n.N,0) as NUMERO_GESTIONES, {nulls('FECHA_PROMESA', 'date')},
+ {of('m', _SITUATION)}, {of('m', _CLOSING)}, l.MOTIVO_NO_COBRO, l.DICTAMINACION, l.STATUS_GESTION,
+ coalesce(n.N,0) as NUMERO_GESTIONES, l.FECHA_PROMESA,
  coalesce(nullif(trim(m.PRECIERRE_2),''),nullif(trim(m.PRECIERRE_1),'')) as PRECIERRE, m.PRECIERRE_1, m.PRECIERRE_2,
- {nulls('FECHA_CARGA', 'timestamp')}, {RUN_TS} as FECHA_ACTUALIZACION
+ t.FECHA_CARGA, {RUN_TS} as FECHA_ACTUALIZACION
  from cart_rn t left join fx_clientes c on c.NO_DAMA=t.NO_DAMA left join fx_zonas z on z.ZONA=t.ZONA
  left join mora_rn m on m.NO_DAMA=t.NO_DAMA and m.rn=1 left join contacts_rn l on l.NO_DAMA=t.NO_DAMA and l.rn=1
  left join contacts_n n on n.NO_DAMA=t.NO_DAMA

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,7 +14,6 @@ from arrears_mart.operators import audit as A
 from arrears_mart.operators import enrich as E
 from arrears_mart.operators import indicators as I
 from arrears_mart.operators import metrics as M
-from arrears_mart.operators.matching import assign_labels, score_labels
 from arrears_mart.operators.unique import first_per_key
 from arrears_mart.plans import campaign_master as C
 from arrears_mart.plans.days_master import build_days_master
@@ -107,38 +107,54 @@ def _as_csv(spark: SparkSession, df: DataFrame, name: str) -> str:
 @query(
     "s1_csv_text",
     "select ORD||'' as ORD, case when STATUS_GESTION='view' then null else STATUS_GESTION end as STATUS_GESTION, "
-    "NO_DAMA, COMENTARIO from fx_arabela",
+    "NO_DAMA, case when ORD%4=0 then COMENTARIO||chr(10)||'\"sigue\", igual' else COMENTARIO end as COMENTARIO from fx_arabela",
 )
 def s1(spark, folder):
-    contacts = fixture(spark, folder, "fx_arabela").withColumnRenamed("NO_DAMA", "No. Dama")
+    """Two files with different column orders, and comments with a line break, a quote and a comma."""
+    contacts = fixture(spark, folder, "fx_arabela").select("ORD", "STATUS_GESTION", "NO_DAMA", "COMENTARIO")
     status = F.when(F.col("STATUS_GESTION") == "view", "n/a").otherwise(F.col("STATUS_GESTION"))
-    written = contacts.withColumn("STATUS_GESTION", status).drop("FECHA_GESTION")
-    return tables.read_csv_text(spark, _as_csv(spark, written, "contacts"))
-
-
-_S2_SOURCES = {PORTFOLIO: "fx_cartera", ARREARS: "fx_mora", BALANCES: "fx_saldos"}
+    longer = F.concat("COMENTARIO", F.lit('\n"sigue", igual'))
+    comment = F.when(F.col("ORD") % 4 == 0, longer).otherwise(F.col("COMENTARIO"))
+    written = contacts.withColumns({"STATUS_GESTION": status, "COMENTARIO": comment}).withColumnRenamed("NO_DAMA", "No. Dama")
+    path = new_stage_path(spark, "contacts")
+    for part, columns in ((0, written.columns), (1, written.columns[::-1])):
+        K.write_csv(written.where(F.col("ORD") % 2 == part).select(*[F.col(f"`{c}`") for c in columns]), f"{path}/{part}")
+    return tables.read_csv_text(spark, f"{path}/*")
+
+
+_SOURCE_VIEWS = {
+    PORTFOLIO: "fx_cartera",
+    CLIENTS: "fx_clientes",
+    ZONES: "fx_zonas",
+    ARREARS: "fx_mora",
+    CONTACTS: "fx_arabela",
+    BALANCES: "fx_saldos",
+}
 
 
 @query(
     "s2_sources_by_name",
-    " union all ".join(f"select '{n}' as FUENTE, count(*) as FILAS, count(distinct NO_DAMA) as CUENTAS from {v}" for n, v in _S2_SOURCES.items()),
+    " union all ".join(
+        f"select '{n}' as FUENTE, count(*) as FILAS, count(distinct {'ZONA' if n == ZONES else 'NO_DAMA'}) as CLAVES from {v}"
+        for n, v in _SOURCE_VIEWS.items()
+    ),
 )
 def s2(spark, folder):
     root = new_stage_path(spark, "sources")
-    for name, view in _S2_SOURCES.items():
+    for name, view in _SOURCE_VIEWS.items():
         fixture(spark, folder, view).write.parquet(f"{root}/{name}.parquet")
     found = tables.read_sources(spark, root, file_format="parquet")
     counted = [
-        df.agg(F.lit(n).alias("FUENTE"), I.row_count("FILAS"), F.countDistinct("NO_DAMA").alias("CUENTAS"))
+        df.agg(F.lit(n).alias("FUENTE"), I.row_count("FILAS"), F.countDistinct("ZONA" if n == ZONES else "NO_DAMA").alias("CLAVES"))
         for n, df in found.items()
     ]
-    return counted[0].unionByName(counted[1]).unionByName(counted[2])
+    return functools.reduce(DataFrame.unionByName, counted)
 
 
 @query(
     "s3_typed_staging",
     "select NO_DAMA, ID_COBRADOR, ZONA, CAMPANA_SALDO, FECHA_FACTURA, FECHA_INICIAL_VIGENCIA, FECHA_FINAL_VIGENCIA, SEGMENTO, "
-    "ESTADO_PROCESO, SALDO_DAMA, PAGOS_DAMA, cast(null as timestamp) as FECHA_CARGA from fx_cartera",
+    "ESTADO_PROCESO, SALDO_DAMA, PAGOS_DAMA, FECHA_CARGA from fx_cartera",
 )
 def s3(spark, folder):
     portfolio = fixture(spark, folder, "fx_cartera").drop("ORD")
@@ -234,10 +250,11 @@ def p3(spark, folder):
 
 @query(
     "p4_missing_columns",
-    f"select *, {O.nulls('COLONIA POBLACION ESTADO TELEFONO_CASA TELEFONO_CELULAR')} from fx_clientes",
+    "select * replace (cast(null as varchar) as COLONIA, cast(null as varchar) as ESTADO) from fx_clientes",
 )
 def p4(spark, folder):
-    return headers.ensure_columns(fixture(spark, folder, "fx_clientes"), SOURCE_SCHEMAS[CLIENTS])
+    given = fixture(spark, folder, "fx_clientes").drop("COLONIA", "ESTADO")
+    return headers.ensure_columns(given, SOURCE_SCHEMAS[CLIENTS])
 
 
 @query("p6_usable_key", "select ORD, trim(T1) as T1 from fx_messy where trim(T1)<>''")
@@ -430,7 +447,7 @@ def j12(spark, folder):
 @query(
     "w1_latest_per_key",
     "select NO_DAMA, ID_COBRADOR, ZONA, CAMP as CAMPANA_SALDO, FECHA_FACTURA, FECHA_INICIAL_VIGENCIA, FECHA_FINAL_VIGENCIA, SEGMENTO, "
-    "ESTADO_PROCESO, SALDO_DAMA, PAGOS_DAMA, cast(null as timestamp) as FECHA_CARGA from cart_rn where rn=1",
+    "ESTADO_PROCESO, SALDO_DAMA, PAGOS_DAMA, FECHA_CARGA from cart_rn where rn=1",
 )
 def w1(spark, folder):
     return latest(spark, folder).select(*columns_of(PORTFOLIO))
@@ -438,8 +455,8 @@ def w1(spark, folder):
 
 @query(
     "w2_latest_contact",
-    "select c.NO_DAMA, STATUS_GESTION, cast(null as varchar) as MOTIVO_NO_COBRO, cast(null as varchar) as DICTAMINACION, COMENTARIO, "
-    "cast(null as date) as FECHA_PROMESA, ULT as FECHA_ULTIMA_LLAMADA, N as NUMERO_GESTIONES "
+    "select c.NO_DAMA, STATUS_GESTION, MOTIVO_NO_COBRO, DICTAMINACION, COMENTARIO, "
+    "FECHA_PROMESA, ULT as FECHA_ULTIMA_LLAMADA, N as NUMERO_GESTIONES "
     "from calls_rn c join calls_n n on n.NO_DAMA=c.NO_DAMA where rn=1",
 )
 def w2(spark, folder):
@@ -477,7 +494,7 @@ def g2(spark, folder):
 
 
 def _sum(column: str) -> str:
-    return f"cast(sum({column}) as decimal(18,2)) as {column}"
+    return f"cast(sum({column}) as decimal(38,2)) as {column}"
 
 
 @query("g3_balance_by_age", f"select TEMPORALIDAD, {_sum('SALDO_ACTUALIZADO')} from m1 where TEMPORALIDAD is not null group by 1")
@@ -528,6 +545,14 @@ def g9(spark, folder):
     return I.audit_summary(campaign_result(spark, folder).audit)
 
 
+@query(
+    "g9_audit_summary_latest",
+    "select MOTIVO, NIVEL, count(*) as TOTAL from fx_audit where ID_EJECUCION=(select max(ID_EJECUCION) from fx_runs) group by 1,2",
+)
+def g9_latest(spark, folder):
+    return I.audit_summary(I.latest_run(fixture(spark, folder, "fx_audit"), fixture(spark, folder, "fx_runs")))
+
+
 @query("g10_by_age_days", f"select TEMPORALIDAD, count(*) as CUENTAS, {_sum('SALDO_FINAL')} from m2 group by 1")
 def g10(spark, folder):
     return I.age_distribution(days_result(spark, folder).base)
@@ -543,11 +568,25 @@ def g11_master(spark, folder):
     return I.repeated_keys(campaign_result(spark, folder).base, ["NO_DAMA", "CAMPANA_SALDO"])
 
 
+def _matched(master: str) -> str:
+    """The master rows whose key each covered source has."""
+    return ", ".join(
+        f"(select count(*) from {master} where {k} in (select {k} from {v} where {k} is not null)) as {c}"
+        for k, v, c in (
+            ("NO_DAMA", "fx_clientes", "CRUCE_CLIENTES"),
+            ("ZONA", "fx_zonas", "CRUCE_ZONAS"),
+            ("NO_DAMA", "fx_mora", "CRUCE_MORA"),
+            ("NO_DAMA", "fx_arabela", "CRUCE_GESTIONES"),
+        )
+    )
+
+
 @query(
     "g12_metrics",
     "select (select count(*) from cart) as REG_PROCESADOS, (select count(*) from m1) as REG_CONSOLIDADOS, "
     "(select count(*) from m1 where CARTERA_MORAS='NUEVA') as REG_NUEVOS_MORAS, "
-    "(select count(*) from enriched where EXCLUIDA) as REG_EXCLUIDOS_VIGENCIA, (select count(*) from m1_audit) as REG_CON_ERROR",
+    "(select count(*) from enriched where EXCLUIDA) as REG_EXCLUIDOS_VIGENCIA, (select count(*) from m1_audit) as REG_CON_ERROR, "
+    + _matched("m1"),
 )
 def g12(spark, folder):
     return campaign_result(spark, folder).metrics
@@ -556,7 +595,8 @@ def g12(spark, folder):
 @query(
     "g12_metrics_days",
     "select (select count(*) from fx_cartera) as REG_PROCESADOS, (select count(*) from m2) as REG_CONSOLIDADOS, "
-    "cast(0 as bigint) as REG_NUEVOS_MORAS, cast(0 as bigint) as REG_EXCLUIDOS_VIGENCIA, (select count(*) from m2_audit) as REG_CON_ERROR",
+    "cast(0 as bigint) as REG_NUEVOS_MORAS, cast(0 as bigint) as REG_EXCLUIDOS_VIGENCIA, (select count(*) from m2_audit) as REG_CON_ERROR, "
+    + _matched("m2"),
 )
 def g12_days(spark, folder):
     return days_result(spark, folder).metrics
@@ -819,10 +859,11 @@ def k2(spark, folder):
     "timestamp '2001-08-01 06:05:00' as FECHA_FIN, 'EXITO' as ESTATUS, (select count(*) from cart) as REG_PROCESADOS, "
     "(select count(*) from m1) as REG_CONSOLIDADOS, (select count(*) from m1 where CARTERA_MORAS='NUEVA') as REG_NUEVOS_MORAS, "
     "(select count(*) from enriched where EXCLUIDA) as REG_EXCLUIDOS_VIGENCIA, (select count(*) from m1_audit) as REG_CON_ERROR, "
-    "'Proceso completado. Consolidados='||(select count(*) from m1)||', Incidencias='||(select count(*) from m1_audit)||'.' as MENSAJE",
+    "'Proceso completado. Consolidados='||(select count(*) from m1)||', Incidencias='||(select count(*) from m1_audit)||'.' as MENSAJE, "
+    + _matched("m1"),
 )
 def k3(spark, folder):
-    return K.read_run_log(spark, published(spark, folder))
+    return K.read_run_log(spark, published(spark, folder)).drop("RUTA")  # a new folder each time
 
 
 def _csv_text(sql: str, columns: tuple[str, ...]) -> str:
@@ -851,7 +892,7 @@ def k5(spark, folder):
 
 @query(
     "k6_arrears_key_export",
-    f"select NO_DAMA, CAMPANA_SALDO, NOMBRE, NO_DAMA||'-'||right({O.campaign('CAMPANA_SALDO')},2) as \"{K.ACCOUNT_KEY_EXPORTED}\" from fx_mora",
+    f"select NO_DAMA, CAMPANA_SALDO, NOMBRE, trim(NO_DAMA)||'-'||right({O.campaign('CAMPANA_SALDO')},2) as \"{K.ACCOUNT_KEY_EXPORTED}\" from fx_mora",
 )
 def k6(spark, folder):
     arrears = fixture(spark, folder, "fx_mora").select("NO_DAMA", "CAMPANA_SALDO", "NOMBRE")
@@ -859,32 +900,3 @@ def k6(spark, folder):
     path = new_stage_path(spark, "arrears-csv")
     K.write_csv(K.with_account_key(arrears, year), path)
     return spark.read.csv(path, header=True, escape='"')
-
-
-# ---- label matching ------------------------------------------------------------------------------------------
-
-_PRODUCTS = {
-    "RED_WIDGET": ("REDWIDGETS", "SCARLETWIDGET"),
-    "SMALL_RING": ("TINYRING", "RINGS"),
-    "COLD_BOLT": ("BOLT", "COLDBOLTS"),
-    "HOT_GEAR": ("GEAR",),
-    "NEW_PLATE": ("PLATES",),
-    "OLD_ANVIL": ("ANTIQUEANVIL",),
-}
-
-
-def product_labels(spark: SparkSession, folder: str) -> DataFrame:
-    """Product names as somebody typed them."""
-    part = table(spark, folder, "part")
-    brand = F.when(F.col("p_partkey") % 3 == 0, F.col("p_brand")).when(F.col("p_partkey") % 3 == 1, F.lit(""))
-    return part.select(F.concat_ws(" - ", F.initcap("p_name"), brand).alias("ETIQUETA"))
-
-
-@query("r1_label_scores")
-def r1(spark, folder):
-    return score_labels(product_labels(spark, folder), "ETIQUETA", list(_PRODUCTS), _PRODUCTS)
-
-
-@query("r2_assignment")
-def r2(spark, folder):
-    return assign_labels(spark, r1(spark, folder), list(_PRODUCTS))
