@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arrears_mart.functions.text import has_text
-from arrears_mart.operators.unique import discarded_rows
+from arrears_mart.operators.unique import discarded_rows, rows_not_latest
 from arrears_mart.schemas import AUDIT_COLUMNS, CLOCK
 
 # Steps, motives and levels of the audit table.
@@ -37,6 +37,12 @@ def duplicate_audit(portfolio: DataFrame, kept: DataFrame, text: str) -> DataFra
     return discarded_rows(portfolio, kept, _WHO).select(*_audit_row(STEP_DUPLICATES, DUPLICATE, F.lit(text)))
 
 
+def duplicates_by_order(portfolio: DataFrame, order: Sequence[str], text: str, arrival: str | None = None) -> DataFrame:
+    """The same rows without a table of the kept ones, from one reading of the portfolio."""
+    found = rows_not_latest(portfolio, ["NO_DAMA"], _WHO, order, arrival)
+    return found.select(*_audit_row(STEP_DUPLICATES, DUPLICATE, F.lit(text)))
+
+
 def _audit_row(step: str, motive: str, detail: Column) -> list[Column]:
     values = {"PASO": F.lit(step), "MOTIVO": F.lit(motive), "NIVEL": F.lit(LEVELS[motive]), "DETALLE": detail}
     return [values.get(c, F.col(c)).alias(c) for c in AUDIT_COLUMNS]

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Discarded rows of one group are written by several tasks when there are more of them than this.
@@ -73,6 +73,21 @@ def discarded_rows(df: DataFrame, kept: DataFrame, columns: Sequence[str]) -> Da
     return repeat_rows(left, "_n")
 
 
+def rows_not_latest(
+    df: DataFrame, keys: Sequence[str], columns: Sequence[str], order: Sequence[str], arrival: str | None = None
+) -> DataFrame:
+    """`columns`, which include `keys`, of all rows but the one `latest_per_key` keeps, from one reading of `df`.
+
+    Rows are first counted and reduced to their best one per distinct `columns`, with a map-side part; what is then sorted
+    by key is one row for each of these.
+    """
+    best = F.max(ranked_row(order, [c for c in df.columns if c not in keys], arrival)).alias("_best")
+    grouped = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"), best)
+    kept = (F.col("_best") == F.max("_best").over(Window.partitionBy(*keys))).cast("bigint")
+    left = grouped.select(*columns, (F.col("_n") - kept).alias("_n")).filter("_n > 0")
+    return repeat_rows(left, "_n")
+
+
 def repeat_rows(df: DataFrame, times: str) -> DataFrame:
     """Each row as often as `times` says; the copies of a row with very many are spread over tasks.
 

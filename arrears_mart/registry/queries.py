@@ -466,7 +466,8 @@ def w2(spark, folder):
 
 @query("w3_discarded", O.DUPLICATE)
 def w3(spark, folder):
-    return A.duplicate_audit(normal(spark, folder)[PORTFOLIO], latest(spark, folder), A.DUPLICATE_TEXT_CAMPAIGN)
+    portfolio = E.keyed(normal(spark, folder)[PORTFOLIO])
+    return A.duplicates_by_order(portfolio, C.LATEST_FIRST, A.DUPLICATE_TEXT_CAMPAIGN, ARRIVAL)
 
 
 @query("a1_first_arrears", "select NO_DAMA, NOMBRE, DOMICILIO, ORD from mora_rn where rn=1")

@@ -49,9 +49,17 @@ def test_discarded_rows_are_all_rows_but_the_kept_ones(spark, monkeypatch, copie
     expected = [(k, c, z) for k, _, c, z in data]
     for row in kept.collect():
         expected.remove((row.k, row.c, row.z))
-    found = unique.discarded_rows(df, kept, ["k", "c", "z"])
     by_text = lambda r: tuple(map(str, r))
-    assert sorted(map(tuple, found.collect()), key=by_text) == sorted(expected, key=by_text)
+    for found in (unique.discarded_rows(df, kept, ["k", "c", "z"]), unique.rows_not_latest(df, ["k"], ["k", "c", "z"], ["o"])):
+        assert sorted(map(tuple, found.collect()), key=by_text) == sorted(expected, key=by_text)
+
+
+def test_discarded_rows_read_their_table_once(spark, tmp_path):
+    frame(spark, rows(3)).write.parquet(str(tmp_path / "t"))
+    found = unique.rows_not_latest(spark.read.parquet(str(tmp_path / "t")), ["k"], ["k", "c", "z"], ["o"])
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("FileScan") - plan.count("ReusedExchange") <= 1
 
 
 def test_copies_of_a_hot_row_are_spread(spark, monkeypatch):
