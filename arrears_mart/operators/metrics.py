@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,3 +48,11 @@ def with_coverage(counts: DataFrame, master: DataFrame, sources: dict[str, DataF
     """The one-row `counts` with the matched rows of each covered source, every source read once."""
     found = {count: count_matches(master, sources[name], key).scalar() for name, key, count in COVERED}
     return counts.withColumns(found).select(*RUN_COUNTS)
+
+
+def counted(df: DataFrame, step: str, counts: dict[str, Observation] | None) -> DataFrame:
+    """`df`, which also counts its rows under `step` while something else reads it; as it is if nobody asks."""
+    if counts is None:
+        return df
+    counts[step] = Observation(step)
+    return df.observe(counts[step], F.count(F.lit(1)).alias("FILAS"))

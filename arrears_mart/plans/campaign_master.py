@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from arrears_mart.functions.addresses import split_address
@@ -19,7 +19,7 @@ from arrears_mart.functions.dates import days_overdue, run_clock
 from arrears_mart.functions.text import blank_to_null, closing_code, digits_only, has_text, join_words
 from arrears_mart.operators import audit as A
 from arrears_mart.operators import enrich as E
-from arrears_mart.operators.metrics import with_coverage
+from arrears_mart.operators.metrics import counted, with_coverage
 from arrears_mart.operators.unique import latest_per_key
 from arrears_mart.plans.result import MasterResult, missing_error, stopped
 from arrears_mart.schemas import (
@@ -189,13 +189,15 @@ def build_campaign_master(
     postal_codes: DataFrame | None = None,
     arrival: str | None = None,
     write_stages: bool = True,
+    step_counts: dict[str, Observation] | None = None,
 ) -> MasterResult:
     """Build the master by campaign rules.
 
     `postal_codes` are catalogue rows, not necessarily unique; without them towns and states stay as they are.
     `arrival` names a numeric column with the file order of the rows; sources that have it use it to break ties.
     With `write_stages` the account list and the enriched accounts are written once and master, audit and counts read
-    them back; turn it off when only the master is wanted, and nothing is written.
+    them back; turn it off when only the master is wanted, and nothing is written. With `step_counts` the rows of each
+    stage table are counted while it is written: `step_counts["PASO1_CUENTAS"].get["FILAS"]`.
     """
     error = missing_error(sources)
     if error:
@@ -212,10 +214,10 @@ def build_campaign_master(
     stages: list[str] = []
     accounts = all_accounts(typed[PORTFOLIO], typed[ARREARS], run_ts, arrival)
     if write_stages:
-        accounts = stage_table(accounts, "accounts", stages)
+        accounts = stage_table(counted(accounts, "PASO1_CUENTAS", step_counts), "accounts", stages)
     enriched = enrich_accounts(accounts, typed, run_ts, postal_codes, arrival)
     if write_stages:
-        enriched = stage_table(enriched, "enriched", stages)
+        enriched = stage_table(counted(enriched, "PASO2_COMPLETAS", step_counts), "enriched", stages)
 
     kept, out = ~F.col("EXCLUIDA"), F.col("EXCLUIDA")
     checks = [A.expired_finding(out), A.no_collector_finding(kept), A.overpaid_finding(kept, F.col("SOBREPAGO"))]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from arrears_mart.functions.balances import final_balance
@@ -12,7 +12,7 @@ from arrears_mart.functions.dates import age_by_days, days_overdue, run_clock
 from arrears_mart.functions.text import closing_code, has_text, join_parts
 from arrears_mart.operators import audit as A
 from arrears_mart.operators import enrich as E
-from arrears_mart.operators.metrics import with_coverage
+from arrears_mart.operators.metrics import counted, with_coverage
 from arrears_mart.plans.campaign_master import latest_accounts
 from arrears_mart.plans.result import MasterResult, missing_error, stopped
 from arrears_mart.schemas import (
@@ -73,6 +73,7 @@ def build_days_master(
     run_ts: dt.datetime,
     arrival: str | None = None,
     write_stages: bool = True,
+    step_counts: dict[str, Observation] | None = None,
 ) -> MasterResult:
     """Build the master by day rules; see `build_campaign_master` for the arguments."""
     error = missing_error(sources)
@@ -82,10 +83,10 @@ def build_days_master(
     portfolio, stages = typed[PORTFOLIO], []
     latest = latest_accounts(portfolio, arrival)
     if write_stages:
-        latest = stage_table(latest, "latest", stages)
+        latest = stage_table(counted(latest, "PASO1_CUENTAS", step_counts), "latest", stages)
     base = enrich_by_days(latest, typed, run_ts, arrival)
     if write_stages:
-        base = stage_table(base, "base", stages)
+        base = stage_table(counted(base, "PASO2_COMPLETAS", step_counts), "base", stages)
     duplicates = A.duplicate_audit(E.keyed(portfolio), latest, A.DUPLICATE_TEXT_DAYS)
     checks = [A.no_collector_finding(F.lit(True)), A.negative_finding()]
     read = portfolio.agg(F.struct(F.count(F.lit(1)).alias("all"), F.count_if(has_text(F.col("NO_DAMA"))).alias("usable"))).scalar()

@@ -773,6 +773,17 @@ def f22(spark, folder):
     return fixture(spark, folder, "fx_mora").select("ORD", *[c.alias(f"A_{n}") for n, c in parts.items()])
 
 
+@query(
+    "g16_step_counts",
+    "select 'PASO1_CUENTAS' as PASO, count(*) as FILAS from acc union all select 'PASO2_COMPLETAS', count(*) from enriched",
+)
+def g16(spark, folder):
+    counts = {}
+    postal, sources = fixture_postal_codes(spark, folder), fixture_sources(spark, folder)
+    C.build_campaign_master(spark, sources, RUN_TS, postal, ARRIVAL, write_stages=True, step_counts=counts)
+    return spark.createDataFrame([(step, seen.get["FILAS"]) for step, seen in counts.items()], "PASO string, FILAS bigint")
+
+
 # ---- validations ---------------------------------------------------------------------------------------------
 
 

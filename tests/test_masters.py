@@ -175,6 +175,13 @@ def test_runs_report_coverage_and_the_client_alarm(spark, sources, build):
     assert (odd.metrics.first().CRUCE_CLIENTES, odd.metrics.first().CRUCE_ZONAS) == (0, 0)
 
 
+@pytest.mark.parametrize("build", [build_campaign_master, build_days_master])
+def test_steps_are_counted_on_request(spark, sources, build):
+    seen = {}
+    build(spark, sources, at("2026-04-15"), step_counts=seen)
+    assert {step: count.get["FILAS"] for step, count in seen.items()} == {"PASO1_CUENTAS": 5, "PASO2_COMPLETAS": 5}
+
+
 def test_days_names_keep_inner_blanks(spark, sources):
     clients = sources[schemas.CLIENTS].withColumn("NOMBRE", F.lit("  ANA   MARIA "))
     changed = sources | {schemas.CLIENTS: clients}
@@ -188,10 +195,20 @@ def test_summaries_are_ordered(spark):
         [("Z2", "K1", "Mora 2", "202605", 5), ("Z1", "K2", "Inactivas", "202606", 9), ("Z2", "K1", "Mora 1", "202605", 1), ("Z3", None, "Mora 3", "202604", 9)],
         "ZONA string, ID_COBRADOR string, TEMPORALIDAD string, CAMPANA_SALDO string, n int",
     ).withColumns({c: F.col("n").cast("decimal(18,2)") for c in ("SALDO_ACTUALIZADO", "PAGOS_DAMA", "SALDO_DAMA", "SALDO_FINAL")})
-    master = master.withColumn("DIAS_MORA", F.lit(3)).repartition(3)
+    master = master.withColumns({"DIAS_MORA": F.lit(3), "NO_DAMA": F.lit("1")}).repartition(3)
     assert [r.TEMPORALIDAD for r in indicators.balance_by_age(master).collect()] == ["Inactivas", "Mora 1", "Mora 2", "Mora 3"]
     assert [r.ZONA for r in indicators.balance_by_zone(master).collect()] == ["Z1", "Z3", "Z2"]
     assert [r.ZONA for r in indicators.distinct_values(master, "ZONA").collect()] == ["Z1", "Z2", "Z3"]
+    assert [r.ID_COBRADOR for r in indicators.by_collector(master).collect()] == [None, "K2", "K1"]
+    assert [r.CAMPANA_SALDO for r in indicators.by_campaign(master).collect()] == ["202606", "202605", "202604"]
+    days = master.withColumn("DIAS_MORA", F.length("TEMPORALIDAD") * F.when(F.col("ZONA") == "Z2", 9).otherwise(1))
+    assert [r.TEMPORALIDAD for r in indicators.age_distribution(days).collect()][:2] == ["Mora 3", "Inactivas"]
+    wide = master.withColumns({c: F.lit(None) for c in indicators.QUICK_VIEW_COLUMNS if c not in master.columns})
+    accounts = wide.withColumn("NO_DAMA", F.concat("TEMPORALIDAD", "ZONA"))
+    assert [r.NO_DAMA for r in indicators.quick_view(accounts).collect()] == ["InactivasZ1", "Mora 1Z2", "Mora 2Z2", "Mora 3Z3"]
+    audit = spark.createDataFrame([("B", "x", "202602"), ("A", "x", "202601"), ("B", "x", "202601"), ("C", "x", "202601")], "MOTIVO string, NIVEL string, CAMPANA_SALDO string").repartition(3)
+    assert [r.MOTIVO for r in indicators.audit_summary(audit).collect()] == ["B", "A", "C"]
+    assert [(r.CAMPANA_SALDO, r.MOTIVO) for r in indicators.audit_by_campaign(audit).collect()] == [("202601", "A"), ("202601", "B"), ("202601", "C"), ("202602", "B")]
 
 
 def test_sums_may_exceed_a_single_value(spark):
