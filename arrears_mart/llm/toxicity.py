@@ -16,20 +16,26 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+#: Longer texts are scored like any other, but do not train: the sample must fit the driver.
+LONGEST = 50_000
+
+
 def labelled_texts(docs: DataFrame, labels: DataFrame, per_class: int) -> DataFrame:
-    """(text, toxic): at most `per_class` labelled training documents of either label, least by a hash of the id."""
+    """(text, toxic): at most `per_class` labelled training documents of either label, least by a hash of the id, and of
+    these the ones of at most LONGEST characters."""
     marked = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     marked = marked.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     picked = marked.where("toxic = 1").orderBy(*order).limit(per_class)
     picked = picked.union(marked.where("toxic = 0").orderBy(*order).limit(per_class))
-    texts = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")  # at most 2 * per_class ids
+    short = docs.select("doc_id", "text").where(F.coalesce(F.length("text"), F.lit(0)) <= LONGEST)
+    texts = short.join(F.broadcast(picked), "doc_id")  # at most 2 * per_class ids
     texts = texts.groupBy("doc_id").agg(F.max("text").alias("text"), F.max("toxic").alias("toxic"))
     return texts.orderBy(*order).select("text", "toxic").limit(2 * per_class)
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1500) -> Network:
-    """A network trained on a bounded sample: at most `per_class` documents of either label."""
+    """A network trained on a bounded sample: at most `per_class` documents of either label, of LONGEST characters."""
     rows = labelled_texts(docs, labels, per_class).collect()
     return train([r.text for r in rows], [r.toxic for r in rows])
 

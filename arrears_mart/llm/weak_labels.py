@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from arrears_mart.llm.columns import words
 
 BUCKETS = 1 << 16
+#: Longer texts vote and are scored, but do not train: the sample must fit the driver.
+LONGEST = 50_000
 #: A heuristic accuses at most this share of good texts; it keeps a common fault from passing for a trait of good texts.
 RARELY = 0.02
 _TINY = 1e-6
@@ -144,10 +146,10 @@ def train(texts: Sequence[str | None], labels: Sequence[float], epochs: int = 6,
 
 
 def _sample(voted: DataFrame, texts: DataFrame, most: int) -> DataFrame:
-    """At most `most` documents, least by a hash of the text, half of them with a vote for bad."""
+    """At most `most` documents of at most LONGEST characters, least by a hash of the text, half with a vote for bad."""
     bad = F.least(*[F.abs(F.col(c)) for c in voted.columns if c.startswith("v_")]) == 0
     order = [F.xxhash64("text", F.lit(11)), F.col("text")]
-    marked = texts.withColumn("bad", bad)
+    marked = texts.where(F.coalesce(F.length("text"), F.lit(0)) <= LONGEST).withColumn("bad", bad)
     half = [marked.where(side).orderBy(*order).limit(most // 2) for side in (F.col("bad"), ~F.col("bad"))]
     return half[0].union(half[1])
 
