@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arrears_mart.llm.columns import words
-from arrears_mart.operators.lookups import BROADCAST_BYTES, measured_bytes
 from arrears_mart.stages import stage_table
 
 #: Documents of a source are dealt to so many bins by a seeded hash; neighbouring bins make up a shard.
