@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from arrears_mart.llm.columns import byte_length
 from arrears_mart.stages import stage_table
 
-_DIGIT = 12  # a round probes so many more bits of the key: 4096 boundaries in an interval
+_DIGIT, _LEAST_DIGIT = 12, 4  # a round probes 2^12 boundaries in all, but 2^4 in each interval at least
+_MOST_PARTS = 4096
 _LOWEST = -(1 << 63)
 
 
@@ -45,14 +46,15 @@ def find_splitters(keys: DataFrame, goals: list[float], tolerances: list[float])
     """For each goal (bytes below, rising) a boundary within its tolerance, or the nearest one that rows allow.
 
     `keys` has _k1, _k2 and size. Every round counts, in one job, bytes and rows below each probe of all intervals that
-    still hold an unmet goal: at most 4096 counts for each goal come to the driver, whatever the number of rows.
+    still hold an unmet goal: at most 4096 counts, or 16 for each goal, come to the driver, whatever the number of rows.
     """
     found: dict[int, Splitter] = {}
     # Intervals by the key bits that lead to them, with bytes and rows below and the goals in them.
     open_: dict[int, tuple[int, int, list[int]]] = {0: (0, 0, list(range(len(goals))))}
     taken = 0
     while open_:
-        step = min(_DIGIT, (64 if taken < 64 else 128) - taken)
+        digit = max(_DIGIT - (len(open_) - 1).bit_length(), _LEAST_DIGIT)
+        step = min(digit, (64 if taken < 64 else 128) - taken)
         p1, p2 = _key_bits(taken + step)
         level = keys.select(p1.alias("p1"), p2.alias("p2"), "size", *((c.alias(n) for c, n in zip(_key_bits(taken), ("q1", "q2"))) if taken else ()))
         if taken:
@@ -117,7 +119,7 @@ def shard_documents(
     The law is `bytes`: a shard's bytes differ from the mean by at most `tolerance` of it for each of its two ends, or
     by what one row holds. The key is a hash of the text, then one of the id: equal texts stand together and part only
     where a group is too large for its shard. Rows of equal text and id are never parted. A shard is written by several
-    tasks of about `part_bytes`; slots run on through them from the exact counts below each boundary. Null texts have no
+    tasks of about `part_bytes`, _MOST_PARTS at most in all; slots run on through them from the exact counts below each boundary. Null texts have no
     bytes and a null checksum, null ids are one id; an empty table gives an empty result.
     """
     text = F.col(text_col)
@@ -129,7 +131,7 @@ def shard_documents(
     }
     narrow = stage_table(docs.select(*[c.alias(n) for n, c in keys.items()]).select("_k1", "_k2", "size"), "shard-keys")
     total = narrow.agg(F.sum("size")).first()[0] or 0
-    parts = max(1, round(total / shards / part_bytes))
+    parts = max(1, min(round(total / shards / part_bytes), _MOST_PARTS // shards))
     goals = [total * i / (shards * parts) for i in range(1, shards * parts)]
     mean = total / shards
     loose = [tolerance if (i + 1) % parts == 0 else 0.1 / parts for i in range(len(goals))]
