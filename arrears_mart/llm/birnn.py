@@ -22,6 +22,7 @@ _EDGE = " .,;:!?\"'()[]{}<>|#$%&*-_=/\\"
 _PAD = 0
 _CACHED_WORDS = 200_000
 _CHUNK = 1024
+_WORDS_AT_ONCE = 20_000
 
 
 def word_hashes(new: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -56,9 +57,14 @@ class Words:
         new = list(dict.fromkeys(itertools.chain.from_iterable(parts)))
         number = {w: i + 1 for i, w in enumerate(new)}
         self.ids = [np.fromiter(map(number.__getitem__, p), np.int64, len(p)) for p in parts]
-        buckets, counts, self.grams = word_hashes(new)
-        self.buckets = np.concatenate([[0], buckets])
-        self.first = np.cumsum(np.concatenate([[0, 0], counts]))  # grams[first[i]:first[i + 1]] belong to number i
+        buckets, counts, grams = [np.zeros(1, np.int64)], [np.zeros(2, np.int64)], [np.zeros(0, np.int32)]
+        for at in range(0, len(new), _WORDS_AT_ONCE):
+            b, c, g = word_hashes(new[at : at + _WORDS_AT_ONCE])
+            buckets.append(b)
+            counts.append(c)
+            grams.append(g.astype(np.int32))
+        self.buckets, self.grams = np.concatenate(buckets), np.concatenate(grams)
+        self.first = np.cumsum(np.concatenate(counts))  # grams[first[i]:first[i + 1]] belong to number i
 
 
 def split(text: str | None) -> list[str]:
@@ -152,6 +158,12 @@ class Network:
             out[real] = self.embed(words.buckets[numbers[real]], lengths[real], words.grams[places])
         return out
 
+    def projected(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        """The projected inputs of all words, a part of them at a time."""
+        starts = range(0, len(words.buckets), _WORDS_AT_ONCE)
+        parts = [self.project(self.inputs(words, np.arange(a, min(a + _WORDS_AT_ONCE, len(words.buckets))))) for a in starts]
+        return tuple(np.concatenate(x) for x in zip(*parts))
+
     def project(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return tuple(x @ self.p[f"W{w}"] + self.p[f"c{w}"] for w in "fb")
 
@@ -287,7 +299,7 @@ def train(
     cut = list(map(windows, words.ids))
     owner = np.repeat(np.arange(len(cut)), list(map(len, cut)))
     first = np.cumsum([0, *map(len, cut[:-1])])
-    rows, learn = np.concatenate(cut), ~aside[owner]
+    rows, learn = np.concatenate(cut).astype(np.int32), ~aside[owner]
     doubt = np.zeros(len(rows))
     doubt[learn] = _suspicion([c for c, x in zip(cut, aside) if not x], label[~aside], words)
     toxic = label[owner] == 1
@@ -299,7 +311,7 @@ def train(
     done = 0
 
     def window_logits():
-        return net.logits(rows, net.project(net.inputs(words, np.arange(len(words.buckets)))))
+        return net.logits(rows, net.projected(words))
 
     for epoch in range(epochs):
         if epoch == epochs // 2:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import pandas as pd
@@ -20,11 +21,16 @@ def held_out(doc_id: Column) -> Column:
 LONGEST = 50_000
 
 
+def training_labels(labels: DataFrame) -> DataFrame:
+    """(doc_id, toxic) of the labelled documents that are not held out; one that has both labels counts as toxic."""
+    marked = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    return marked.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+
+
 def labelled_texts(docs: DataFrame, labels: DataFrame, per_class: int) -> DataFrame:
     """(text, toxic): at most `per_class` labelled training documents of either label, least by a hash of the id, and of
     these the ones of at most LONGEST characters."""
-    marked = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    marked = marked.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    marked = training_labels(labels)
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     picked = marked.where("toxic = 1").orderBy(*order).limit(per_class)
     picked = picked.union(marked.where("toxic = 0").orderBy(*order).limit(per_class))
@@ -37,7 +43,13 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, per_class: int) -> DataFr
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1500) -> Network:
     """A network trained on a bounded sample: at most `per_class` documents of either label, of LONGEST characters."""
     rows = labelled_texts(docs, labels, per_class).collect()
-    return train([r.text for r in rows], [r.toxic for r in rows])
+    net = train([r.text for r in rows], [r.toxic for r in rows])
+    # The sample has more toxic documents than the labels have: the offset goes back to their odds.
+    toxic, clean = training_labels(labels).agg(F.count_if("toxic = 1"), F.count_if("toxic = 0")).first()
+    sampled = sum(r.toxic for r in rows)
+    if toxic and clean and 0 < sampled < len(rows):
+        net.offset += math.log(toxic / clean) - math.log(sampled / (len(rows) - sampled))
+    return net
 
 
 def toxicity_score(docs: DataFrame, net: Network, text: Column) -> Column:

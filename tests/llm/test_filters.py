@@ -36,7 +36,7 @@ def test_gradients_agree_with_differences():
     rows, target = np.concatenate([birnn.windows(i) for i in words.ids]), np.array([1.0, 0.0])
 
     def loss():
-        projected = net.project(net.inputs(words, np.arange(len(words.buckets))))
+        projected = net.projected(words)
         logits = net.logits(rows, projected).astype(np.float64)
         return float(np.mean(np.logaddexp(0, logits) - target * logits))
 
