@@ -45,7 +45,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1500) -> Network:
     rows = labelled_texts(docs, labels, per_class).collect()
     net = train([r.text for r in rows], [r.toxic for r in rows])
     # The sample has more toxic documents than the labels have: the offset goes back to their odds.
-    toxic, clean = training_labels(labels).agg(F.count_if("toxic = 1"), F.count_if("toxic = 0")).first()
+    toxic, clean = training_labels(labels).agg(F.count_if(F.col("toxic") == 1), F.count_if(F.col("toxic") == 0)).first()
     sampled = sum(r.toxic for r in rows)
     if toxic and clean and 0 < sampled < len(rows):
         net.offset += math.log(toxic / clean) - math.log(sampled / (len(rows) - sampled))
