@@ -5,8 +5,10 @@ from __future__ import annotations
 
 import math
 import zlib
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -21,6 +23,7 @@ LONGEST = 50_000
 #: A heuristic accuses at most this share of good texts; it keeps a common fault from passing for a trait of good texts.
 RARELY = 0.02
 _TINY = 1e-6
+_KNOWN_WORDS = 200_000
 
 
 def votes(text: Column) -> dict[str, Column]:
@@ -89,28 +92,43 @@ def estimate(patterns: Sequence[Sequence[int]], counts: Sequence[int], rounds: i
     return model
 
 
-def hashed(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets and weights (of length 1 together) of a whole text's words, word shapes and neighbouring shapes."""
-    parts = (text or "").split()
-    counts: dict[str, int] = {}
-    for w in parts:
-        counts[w] = counts.get(w, 0) + 1
-    shape = {w: _shape(w) for w in counts}
-    shapes = [shape[w] for w in parts]
-    pairs: dict[str, int] = {}
-    for a, b in zip(shapes, shapes[1:]):
-        pairs[a + " " + b] = pairs.get(a + " " + b, 0) + 1
-    single: dict[str, int] = {}
-    for s in shapes:
-        single["\x01" + s] = single.get("\x01" + s, 0) + 1
-    everything = {**{w.lower(): c for w, c in counts.items()}, **pairs, **single, "\x02size" + str(len(parts).bit_length()): 1}
-    at = np.array([zlib.crc32(k.encode("utf-8", "replace")) % BUCKETS for k in everything], np.int64)
-    weight = np.log1p(np.fromiter(everything.values(), np.float64, len(everything)))
-    return at, weight / max(np.sqrt((weight**2).sum()), 1e-9)
+def _bucket(feature: str) -> int:
+    return zlib.crc32(feature.encode("utf-8", "replace")) % BUCKETS
+
+
+class Hasher:
+    """Turns whole texts into buckets and weights; it keeps what it knows of words, up to a bound."""
+
+    def __init__(self):
+        self.words: dict[str, tuple[int, str]] = {}
+        self.shapes: dict[str | tuple[str, str], int] = {}
+
+    def __call__(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Buckets and weights (of length 1 together) of a text's words, word shapes and neighbouring shapes."""
+        parts = (text or "").split()
+        counts = Counter(parts)
+        if len(self.words) > _KNOWN_WORDS:
+            self.words.clear()
+        known = self.words
+        for w in counts.keys() - known.keys():
+            known[w] = (_bucket(w.lower()), _shape(w))
+        shapes = [known[w][1] for w in parts]
+        grouped = Counter(shapes)
+        grouped.update(zip(shapes, shapes[1:]))
+        for s in grouped:
+            if s not in self.shapes:
+                self.shapes[s] = _bucket("\x01" + s if isinstance(s, str) else " ".join(s))
+        size = len(counts) + len(grouped) + 1
+        own = (_bucket(f"\x02size{len(parts).bit_length()}"),)
+        at = np.fromiter(chain([known[w][0] for w in counts], [self.shapes[s] for s in grouped], own), np.int64, size)
+        weight = np.log1p(np.fromiter(chain(counts.values(), grouped.values(), (1,)), np.float64, size))
+        return at, weight / np.sqrt((weight**2).sum())
 
 
 def _shape(word: str) -> str:
     """What a word is made of, and how long it is: letters, capitals, digits, other signs."""
+    if word.isalpha():  # most words
+        return f"{word.islower():d}{word.isupper():d}000{min(len(word), 24) // 3}"
     kinds = (word.islower(), word.isupper(), any(c.isdigit() for c in word), not word.isalnum(), word[-1:] in ".,;:!?")
     return "".join("01"[k] for k in kinds) + str(min(len(word), 24) // 3)
 
@@ -121,7 +139,7 @@ class Scorer:
     bias: float
 
     def scores(self, texts: Sequence[str | None]) -> np.ndarray:
-        logits = np.empty(len(texts))
+        logits, hashed = np.empty(len(texts)), Hasher()
         for i, text in enumerate(texts):
             at, weight = hashed(text)
             logits[i] = (self.weights[at] * weight).sum() + self.bias
@@ -131,7 +149,7 @@ class Scorer:
 def train(texts: Sequence[str | None], labels: Sequence[float], epochs: int = 6, rate: float = 0.5) -> Scorer:
     """Logistic regression on soft labels by adaptive gradient steps, one text at a time in a fixed order."""
     weights, squares, bias, bias_square = np.zeros(BUCKETS), np.full(BUCKETS, 1e-6), 0.0, 1e-6
-    rows = [hashed(t) for t in texts]
+    rows = list(map(Hasher(), texts))
     order = np.random.default_rng(3).permutation(len(rows))
     for _ in range(epochs):
         for i in order:
