@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arrears_mart.llm.columns import words
+from arrears_mart.stages import stage_table
 
 BUCKETS = 1 << 16
 #: Longer texts vote and are scored, but do not train: the sample must fit the driver.
@@ -163,29 +164,37 @@ def train(texts: Sequence[str | None], labels: Sequence[float], epochs: int = 6,
     return Scorer(weights.astype(np.float32), bias)
 
 
-def _sample(voted: DataFrame, texts: DataFrame, most: int) -> DataFrame:
-    """At most `most` documents of at most LONGEST characters, least by a hash of the text, half with a vote for bad."""
-    bad = F.least(*[F.abs(F.col(c)) for c in voted.columns if c.startswith("v_")]) == 0
-    order = [F.xxhash64("text", F.lit(11)), F.col("text")]
-    marked = texts.where(F.coalesce(F.length("text"), F.lit(0)) <= LONGEST).withColumn("bad", bad)
-    half = [marked.where(side).orderBy(*order).limit(most // 2) for side in (F.col("bad"), ~F.col("bad"))]
-    return half[0].union(half[1])
+def _sample(voted: DataFrame, docs: DataFrame, most: int) -> DataFrame:
+    """Text and votes of at most `most` different texts of at most LONGEST characters, least by hash, half of them with a
+    vote for bad."""
+    names = [c for c in voted.columns if c.startswith("v_")]
+    bad = F.least(*[F.abs(F.col(c)) for c in names]) == 0
+    able = voted.where("able").select("hash", *names).distinct()
+    half = [able.where(side).orderBy("hash").limit(most // 2) for side in (bad, ~bad)]
+    picked = half[0].union(half[1])
+    texts = docs.select("text", _text_hash().alias("hash")).join(F.broadcast(picked), "hash")  # at most `most` rows
+    return texts.groupBy("hash", *names).agg(F.max("text").alias("text")).orderBy("hash")
+
+
+def _text_hash() -> Column:
+    return F.xxhash64("text", F.lit(11))
 
 
 def fit(docs: DataFrame, most: int = 4000) -> tuple[LabelModel, Scorer]:
     """The label model from the votes on all texts, and a scorer trained on at most `most` of them.
 
-    Only the numbers of texts per vote pattern come to the driver: at most 3 to the number of heuristics rows.
+    Votes are made once and stored with a hash of the text. Only the numbers of texts per vote pattern come to the
+    driver, at most 3 to the number of heuristics rows, and the sample.
     """
-    named = {f"v_{k}": c for k, c in votes(F.col("text")).items()}
-    voted = docs.select("text", *[c.cast("int").alias(k) for k, c in named.items()])
-    patterns = voted.groupBy(*named).agg(F.count(F.lit(1)).alias("n")).collect()
-    patterns = sorted(patterns, key=tuple)
+    named = {f"v_{k}": c.cast("int") for k, c in votes(F.col("text")).items()}
+    able = F.coalesce(F.length("text"), F.lit(0)) <= LONGEST
+    voted = docs.select(_text_hash().alias("hash"), able.alias("able"), *[c.alias(k) for k, c in named.items()])
+    voted = stage_table(voted, "quality-votes")
+    patterns = sorted(voted.groupBy(*named).agg(F.count(F.lit(1)).alias("n")).collect(), key=tuple)
     if not patterns:
         return LabelModel(0.5, np.full((len(named), 2, 3), 1 / 3)), train([], [])
     model = estimate([list(r)[:-1] for r in patterns], [r.n for r in patterns])
-    rows = _sample(voted, voted, most).collect()
-    rows = sorted(rows, key=lambda r: r.text or "")
+    rows = _sample(voted, docs, most).collect()
     return model, train([r.text for r in rows], [model.posterior([r[k] for k in named]) for r in rows])
 
 
