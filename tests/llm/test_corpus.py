@@ -14,7 +14,7 @@ import sentencepiece
 import xxhash
 from pyspark.sql import functions as F
 
-from arrears_mart.llm import components, mixing, phrase_index, sharding, simhash, token_counts
+from arrears_mart.llm import components, minhash, mixing, phrase_index, sharding, simhash, token_counts
 from arrears_mart.llm.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
@@ -122,6 +122,47 @@ def test_one_document_of_each_class_stays(spark):
     assert simhash.keep_one(docs(spark, rows).limit(0)).count() == 0
 
 
+def plain_shingles(text, size=5):
+    w = re.sub("[A-Z]", lambda m: m[0].lower(), text or "").split()
+    return {" ".join(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set()
+
+
+def plain_near_copies(rows):
+    """The smallest id of each class of rows (id, text) whose 5-word shingles have a similarity of 0.8 or more."""
+    sets = [(i, plain_shingles(t)) for i, t in rows]
+    pairs = [(a, b) for (a, x), (b, y) in itertools.combinations(sets, 2) if x == y or 5 * len(x & y) >= 4 * len(x | y)]
+    found = roots(pairs)
+    return {found.get(i, i) for i, _ in rows}
+
+
+def test_near_copies_with_edited_words_go(spark):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choices("abcdefgh", k=7))
+    rows = []
+    for _ in range(30):  # a text and copies with more and more edited words, on both sides of 0.8
+        base = [word() for _ in range(120)]
+        for edits in (0, 1, 2, 3, 4):
+            copy = list(base)
+            for at in rng.sample(range(4, 116), edits):
+                copy[at] = word()
+            rows.append((len(rows), " ".join(copy)))
+    rows += [(len(rows) + i, t) for i, t in enumerate(["", None, " ", "one two", "One  two", "one two three", rows[0][1]])]
+    table = docs(spark, [(i, t, "a") for i, t in rows])
+    kept = minhash.keep_one(table.union(table.limit(9)))
+    assert kept.columns == table.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(plain_near_copies(rows))
+    assert minhash.keep_one(table.limit(0)).count() == 0
+
+
+def test_pipeline_keeps_no_near_copies(spark):
+    import corpus_pipeline as P
+
+    found = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in found.select("doc_id", "text").collect()]
+    kept = P.drop_near_duplicates(spark, found, "/root/testdata/sf0.01")
+    assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == sorted(plain_near_copies(rows))
+
+
 # ---- sharding ------------------------------------------------------------------------------------------------
 
 
