@@ -120,16 +120,12 @@ def _base_spans(text: Column) -> Column:
     return F.sort_array(F.concat(*[of(i, kind) for i, kind in enumerate(KINDS)]))
 
 
-def _candidate(text: Column, kind: int, found: Column) -> Column:
-    """A candidate as a struct with its features; the rules' own checks are not among them."""
-    body, digits = found["found"], _digits(found["found"])
-    before = F.substring(text, F.greatest(found["start"] - _CONTEXT, F.lit(0)) + 1, F.least(found["start"], F.lit(_CONTEXT)))
-    after = F.substring(text, found["end"] + 1, 1)
+def _shape(body: Column) -> dict[str, Column]:
+    """The features that a candidate's own text gives."""
+    digits = _digits(body)
     holds = lambda c: F.instr(body, c).cast("boolean").cast("int")
-    kind_of = lambda c: F.when(c == "", 0).when(c.rlike("[\\s]"), 1).when(c.rlike("[0-9]"), 2).when(c.rlike("[A-Za-z]"), 3).otherwise(4)
     less = lambda n, most: F.least(n, F.lit(most))
-    features = {
-        "kind": F.lit(kind),
+    return {
         "digits": less(F.length(digits), 24),
         "length": less(F.length(body), 40),
         "letters": less(F.length(F.regexp_replace(body, "[^A-Za-z]", "")), 20),
@@ -139,13 +135,56 @@ def _candidate(text: Column, kind: int, found: Column) -> Column:
         "plus": holds("+"),
         "bracket": holds("("),
         "at": holds("@"),
+        "kinds_of_digit": F.size(F.array_distinct(F.filter(F.split(digits, ""), lambda c: c != ""))),
+    }
+
+
+def _candidate(text: Column, kind: int, found: Column) -> Column:
+    """A candidate as a struct with its features; the rules' own checks are not among them.
+
+    `plausible` is 0 for what cannot be of the kind, however it is written: the check digit, the parts or the number of
+    digits are wrong.
+    """
+    body = found["found"]
+    before = F.substring(text, F.greatest(found["start"] - _CONTEXT, F.lit(0)) + 1, F.least(found["start"], F.lit(_CONTEXT)))
+    after = F.substring(text, found["end"] + 1, 1)
+    kind_of = lambda c: F.when(c == "", 0).when(c.rlike("[\\s]"), 1).when(c.rlike("[0-9]"), 2).when(c.rlike("[A-Za-z]"), 3).otherwise(4)
+    features = {
+        "kind": F.lit(kind),
+        **_shape(body),
         "cue": before.rlike(_CUE).cast("int"),
         "before": kind_of(F.right(before, F.lit(1))),
         "after": kind_of(after),
-        "kinds_of_digit": F.size(F.array_distinct(F.filter(F.split(digits, ""), lambda c: c != ""))),
     }
+    plausible = {
+        "email": lambda: F.lit(True),
+        "ip": lambda: body.rlike("^[0-9]+\\.[0-9]+\\.[0-9]+\\.[0-9]+$") & _valid("ip")(found),
+        "card": lambda: _valid("card")(found),
+        "phone": lambda: F.length(_digits(body)) <= 15,
+    }[KINDS[kind]]()
     return F.struct(
-        found["start"].alias("start"), found["end"].alias("end"), *[c.cast("int").alias(n) for n, c in features.items()]
+        found["start"].alias("start"),
+        found["end"].alias("end"),
+        body.alias("body"),
+        plausible.cast("int").alias("plausible"),
+        *[features[n].cast("int").alias(n) for n in FEATURES],
+    )
+
+
+def _rewritten(c: Column) -> Column:
+    """Array of other ways to write a candidate that the base rules confirm, without the sign that they go by: phones
+    without `+`, e-mails with `at` and `dot`, cards with other separators. The addresses proposed have no other way."""
+    body = c["body"]
+    local = F.regexp_extract(body, f"([{_LOCAL}]+)@", 1)
+    domain = F.regexp_extract(body, f"@([{_LABEL}][{_LABEL}.]*[{_LABEL}])", 1)
+    mail = lambda at, dot: F.concat(local, F.lit(f" {at} "), F.regexp_replace(domain, "\\.", f" {dot} "))
+    fours = lambda gap: F.regexp_replace(_digits(body), "([0-9]{4})(?=[0-9])", f"$1{gap}")
+    none = F.array().cast("array<string>")
+    return (
+        F.when(c["kind"] == KINDS.index("email"), F.array(mail("at", "dot"), mail("(at)", "(dot)"), mail("[at]", "[dot]")))
+        .when(c["kind"] == KINDS.index("card"), F.array(fours("."), fours("  ")))
+        .when(c["kind"] == KINDS.index("phone"), F.array(F.regexp_replace(body, "\\+", "")))
+        .otherwise(none)
     )
 
 
@@ -174,31 +213,70 @@ def find_spans(rows: DataFrame, text: Column) -> DataFrame:
     return based.withColumn("_candidates", marked).drop("_loose")
 
 
-def fit(found: DataFrame, precision: float = 0.9) -> tuple[boosting.Trees, list[float]]:
-    """Trees and a threshold for each kind.
+#: What is known of a candidate: confirmed by the base rules, in the place of a base span of another kind, or nothing; from
+#: REWRITTEN on, the ways of writing a confirmed one in turn. Implausible ones are never added and do not train.
+CONFIRMED, OTHER, UNKNOWN, REWRITTEN = range(4)
+
 
-    A candidate is positive if it overlaps a span that the base rules confirm. Feature values whose hash is not
-    divisible by 5 train; on the rest the threshold of a kind is the least score from which on at least `precision` of
-    the candidates are positive, one half at least. If there is none, nothing is added for the kind.
+def _known(found: DataFrame) -> DataFrame:
+    """Stored distinct feature values with `role` (see above) and `n`, their number."""
+    role = lambda c: F.when(c["found"] == 1, CONFIRMED).when(c["free"], UNKNOWN).otherwise(OTHER)
+    row = lambda c, shape, r: F.struct(*[shape.get(n, c[n]).cast("int").alias(n) for n in FEATURES], r.cast("int").alias("role"))
+    again = F.flatten(
+        F.transform(
+            F.filter("_candidates", lambda c: c["found"] == 1),
+            lambda c: F.transform(_rewritten(c), lambda body, i: row(c, _shape(body), i + REWRITTEN)),
+        )
+    )
+    usable = F.filter("_candidates", lambda c: (c["found"] == 1) | (c["plausible"] == 1))
+    each = F.concat(F.transform(usable, lambda c: row(c, {}, role(c))), again)
+    each = found.select(F.explode(each).alias("c")).select("c.*")
+    return stage_table(each.groupBy(*FEATURES, "role").agg(F.count(F.lit(1)).alias("n")), "pii-candidates")
+
+
+def fit(found: DataFrame, precision: float = 0.9) -> tuple[boosting.Trees, list[float]]:
+    """Trees and a threshold for each kind, from positive and unlabelled candidates.
+
+    Positive are confirmed candidates and these written another way; the unknown ones stand against them, together at
+    most as heavy as the positive ones of their kind, and those in the place of another kind. Unknown ones may well be
+    positive, so a score is judged by what rewritten ones get: on average c, which is the share of the positive ones that
+    are known as such, so that score / c estimates the probability (Elkan and Noto). c is the least of all ways of writing,
+    as the unknown ones may all be written one way. The threshold of a kind is `precision` * c; of the known candidates
+    from there on at least `precision` must be of the kind, or it is raised, which is judged by the feature values whose
+    hash is divisible by 5 and that do not train (by all, if none of these is rewritten). Kinds that nothing is known of
+    or that have no other way of writing have nothing added.
     """
-    names = [*FEATURES, "found"]
-    each = found.select(F.explode("_candidates").alias("c")).select(*[F.col(f"c.{n}").alias(n) for n in names])
-    # Distinct values with their number: what training and calibration read.
-    table = stage_table(each.groupBy(*names).agg(F.count(F.lit(1)).alias("n")), "pii-candidates")
+    table = _known(found)
+    weights = {kind: 1.0 for kind in range(len(KINDS))}
+    rewritten, unknown = F.col("role") >= REWRITTEN, F.col("role") == UNKNOWN
+    positive = rewritten | (F.col("role") == CONFIRMED)
     aside = F.pmod(F.xxhash64(*FEATURES), F.lit(5)) == 0
-    model = boosting.fit(table.where(~aside), FEATURES, "found", weight="n")
-    step = F.floor(model.probability() * 100).cast("int").alias("step")
-    judged = table.where(aside).groupBy("kind", step).agg(F.sum(F.col("found") * F.col("n")).alias("good"), F.sum("n").alias("n"))
+    for r in table.where(~aside).groupBy("kind").agg(F.sum(F.when(positive, F.col("n"))).alias("p"), F.sum(F.when(unknown, F.col("n"))).alias("u")).collect():
+        if r.p and r.u:
+            weights[r.kind] = min(1.0, r.p / r.u)
+    weight = F.col("n") * F.when(unknown, F.get(F.array(*map(F.lit, weights.values())), F.col("kind"))).otherwise(1.0)
+    model = boosting.fit(table.where(~aside).withColumns({"_label": positive.cast("int"), "_weight": weight}), FEATURES, "_label", weight="_weight")
+    score = model.probability()
+    known = table.where(rewritten | (F.col("role") == OTHER))
+    ways = known.where(rewritten).groupBy("kind", "role").agg((F.sum(score * F.col("n")) / F.sum("n")).alias("c"))
+    expected: dict[int, float] = {}
+    for r in ways.collect():
+        expected[r.kind] = min(r.c, expected.get(r.kind, 1.0))
+    step = F.floor(score * 100).cast("int").alias("step")
+    good = F.sum(F.when(rewritten, F.col("n")).otherwise(0)).alias("good")
+    judged = known.groupBy("kind", aside.alias("aside"), step).agg(good, F.sum("n").alias("n")).collect()  # at most 202 a kind
     thresholds = [2.0] * len(KINDS)
-    by_kind: dict[int, list] = {}
-    for r in sorted(judged.collect(), key=lambda r: -r.step):  # at most 101 steps a kind
-        by_kind.setdefault(r.kind, []).append(r)
-    for kind, steps in by_kind.items():
-        good = n = 0
-        for r in steps:
-            good, n = good + r.good, n + r.n
-            if good >= precision * n:
-                thresholds[kind] = max(r.step / 100, 0.5)
+    for kind, c in expected.items():
+        own = [r for r in judged if r.kind == kind]
+        if any(r.good for r in own if r.aside):
+            own = [r for r in own if r.aside]
+        right = n = 0
+        for at in sorted({r.step for r in own}, reverse=True):
+            right, n = right + sum(r.good for r in own if r.step == at), n + sum(r.n for r in own if r.step == at)
+            if right >= precision * n:
+                thresholds[kind] = max(at / 100, precision * c)
+        if right >= precision * n:  # no known one speaks against any score
+            thresholds[kind] = precision * c
     return model, thresholds
 
 
@@ -210,7 +288,7 @@ def _texts_of(spans: Column) -> Column:
 def detect(docs: DataFrame, precision: float = 0.9, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of `docs`: doc_id, text, base and spans, arrays of (kind, start, end) in order, kind by its place in KINDS.
 
-    All base spans stay. A free candidate is added if its score reaches its kind's threshold and it overlaps no other such
+    All base spans stay. A free and plausible candidate is added if its score reaches its kind's threshold and it overlaps no other such
     candidate of greater score (equal scores: the one that starts first, then the longer one, then the kind listed first).
     Null and empty texts have no spans; rows are judged apart, so repeated rows and null ids are like any other. Without
     documents, or if the base rules confirm nothing, nothing is added.
@@ -224,7 +302,7 @@ def detect(docs: DataFrame, precision: float = 0.9, id_col: str = "doc_id", text
         score = model.probability(lambda f: c[f])
         return F.struct((-score).alias("score"), c["start"].alias("start"), (-c["end"]).alias("back"), c["kind"].alias("kind"), c["end"].alias("end"))
 
-    free = F.filter(F.transform(F.filter("_candidates", lambda c: c["free"]), scored), lambda s: -s["score"] >= F.get(limits, s["kind"]))
+    free = F.filter(F.transform(F.filter("_candidates", lambda c: c["free"] & (c["plausible"] == 1)), scored), lambda s: -s["score"] >= F.get(limits, s["kind"]))
     judged = found.withColumn("_free", F.sort_array(free)).drop("_candidates")
     best = F.filter("_free", lambda s: ~F.exists("_free", lambda o: (o < s) & _overlaps(o, s)))
     added = F.transform(best, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))

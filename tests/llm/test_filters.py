@@ -263,6 +263,32 @@ def test_trees_add_spans_that_look_like_confirmed_ones(spark):
     assert redacted[0] == "number 0 is not one but phone [phone] ok" and redacted[401] == "mail [email]"
 
 
+def test_spans_in_other_forms_are_found(spark):
+    rng = np.random.default_rng(6)
+    word = lambda n: "".join(rng.choice(list("abcdefghij"), n))
+    number = lambda n: "".join(map(str, rng.integers(0, 10, n)))
+    phone = lambda: f"1 ({number(3)}) 555-{number(4)}"
+    mail = lambda at, dot: f"{word(5)}{at}{word(6)}{dot}com"
+
+    def card(gap):
+        head = "4" + number(14)
+        return gap.join((head + next(c for c in "0123456789" if luhn(head + c)))[i : i + 4] for i in (0, 4, 8, 12))
+
+    def wrong(digits):
+        return digits[:-1] + str((int(digits[-1]) + 1) % 10)
+
+    confirmed_ones = [f"on {t} she" for _ in range(100) for t in ("+" + phone(), mail("@", "."), card("-"))]
+    # Three times as many as the base rules confirm.
+    planted = [(k, t) for _ in range(300) for k, t in (("phone", phone()), ("email", mail(" at ", " dot ")), ("card", card(".")))]
+    others = [t for _ in range(300) for t in (wrong(card("")), wrong(card(".")), f"{number(8)}", f"{number(4)} - {number(4)}")]
+    texts = [*confirmed_ones, *[f"on {t} she" for _, t in planted], *[f"on {t} she" for t in others]]
+    found = {r.doc_id: r.spans for r in pii.digest(pii.detect(docs(spark, *texts))).collect()}
+    at = len(confirmed_ones)
+    hit = {k: [found[at + i] == f"{k}:3:{3 + len(t)}" for i, (kind, t) in enumerate(planted) if kind == k] for k in ("phone", "email", "card")}
+    assert all(np.mean(h) > 0.95 for h in hit.values()), {k: np.mean(h) for k, h in hit.items()}
+    assert not any(found[at + len(planted) + i] for i in range(len(others)))
+
+
 @pytest.mark.parametrize("name", ["op2_toxicity", "op3_weak_labels", "op4_line_rules", "op7_url_filter", "op10_pii"])
 def test_queries_give_a_row_for_each_input_row(spark, name):
     rows = QUERIES[name](spark, FOLDER)
