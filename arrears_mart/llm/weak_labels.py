@@ -111,7 +111,7 @@ class Hasher:
         if len(self.words) > _KNOWN_WORDS:
             self.words.clear()
         known = self.words
-        for w in counts.keys() - known.keys():
+        for w in [w for w in counts if w not in known]:
             known[w] = (_bucket(w.lower()), _shape(w))
         shapes = [known[w][1] for w in parts]
         grouped = Counter(shapes)
