@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrears_mart.llm import line_rules, mixing, phrase_index, pii, sharding, simhash, token_counts, toxicity, url_filter, weak_labels
+from arrears_mart.llm import line_rules, mixing, phrase_index, pii, ranked_search, sharding, simhash, token_counts, toxicity, url_filter, weak_labels
 from arrears_mart.stages import stage_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -203,3 +203,31 @@ def op10(spark, folder):
 def op3(spark, folder):
     scored = weak_labels.score_quality(table(spark, folder, "documents").select("doc_id", "text"))
     return scored.select("doc_id", "score", "kept")
+
+
+_SEARCH_SQL = r"""
+with d as (
+  select doc_id, [x for x in regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') if x <> ''] t from documents
+), i as (
+  select item_id, unnest([x for x in regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') if x <> '']) term from benchmark
+), total as (select count(*) docs, sum(len(t)) held from d where len(t) > 0
+), posted as (
+  select doc_id, term, count(*) tf, any_value(n) n from (select doc_id, len(t) n, unnest(t) term from d) group by all
+), weighted as (
+  select term, cast(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) as bigint) w
+  from posted, total group by term, docs
+), scored as (
+  select item_id, doc_id, cast(sum(w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // held)))) as bigint) score
+  from i join posted using (term) join weighted using (term), total group by item_id, doc_id
+)
+select item_id, cast(rank as integer) as rank, doc_id, score from (
+  select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from scored where score > 0
+) where rank <= 20
+"""
+
+
+@query("op13_ranked_search", _SEARCH_SQL)
+def op13(spark, folder):
+    return ranked_search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
