@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrears_mart.llm import alignment, line_rules, mixing, phrase_index, pii, ranked_search, sharding, simhash, token_counts, toxicity, url_filter, weak_labels
+from arrears_mart.llm import alignment, language, line_rules, mixing, phrase_index, pii, ranked_search, sharding, simhash, token_counts, toxicity, url_filter, weak_labels
 from arrears_mart.stages import stage_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -238,3 +238,8 @@ def op11(spark, folder):
     first, second = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
     found = alignment.align_documents(table(spark, folder, "documents"), first, second)
     return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+@query("op12_language")
+def op12(spark, folder):
+    return language.identify(table(spark, folder, "documents"))
