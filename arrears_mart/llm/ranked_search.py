@@ -22,7 +22,7 @@ from arrears_mart.operators.lookups import measured_bytes
 from arrears_mart.stages import new_stage_path, stage_table
 
 #: Bytes of text in a block, and of queries that are taken at a time.
-BLOCK_BYTES, QUERY_BYTES = 16 << 20, 4 << 20
+BLOCK_BYTES, QUERY_BYTES = 8 << 20, 4 << 20
 #: Fixed by the contract: impacts are (SCALE * tf) div (1000 * tf + 12 * m), m is FLAT + (25 * n * N) div L.
 SCALE, FLAT = 1_000_000_000, 75
 #: Digits, letters (A-Z lower-cased) and all that is not ASCII make terms; everything else parts them.
@@ -56,36 +56,52 @@ def impacts(tf: np.ndarray, n: np.ndarray, documents: int, held: int) -> np.ndar
     return (SCALE * tf) // (1000 * tf + 12 * m)
 
 
-def _block(number: int, ids: list, listed: list[list[bytes]], documents: int, held: int) -> dict:
-    """One row of the index. Documents stand by id, so that an equal score goes to the lesser id; terms stand by their
-    greatest impact, which puts rows that are alike into the same cells."""
-    order = sorted(range(len(ids)), key=lambda i: (pd.isna(ids[i]), 0 if pd.isna(ids[i]) else ids[i]))
-    ids, listed = [ids[i] for i in order], [listed[i] for i in order]
-    numbers: defaultdict[bytes, int] = defaultdict()
-    numbers.default_factory = numbers.__len__
-    n = np.array([len(x) for x in listed], np.int64)
-    number_of = np.concatenate([np.fromiter(map(numbers.__getitem__, x), np.int64, len(x)) for x in listed])
-    cells, tf = np.unique(number_of * len(ids) + np.repeat(np.arange(len(ids)), n), return_counts=True)
-    row, column = cells // len(ids), cells % len(ids)
-    value = impacts(tf, n[column], documents, held)
-    greatest = np.zeros(len(numbers), np.int64)
-    np.maximum.at(greatest, row, value)
-    ordered = np.lexsort((np.arange(len(numbers)), -greatest))
-    place = np.empty_like(ordered)
-    place[ordered] = np.arange(len(ordered))
-    tree = treap.build(place[row], column, value)
-    names = list(numbers)
-    return {
-        "block": number,
-        "ids": [None if pd.isna(i) else int(i) for i in ids],
-        "terms": b" ".join([names[i] for i in ordered]),
-        "found": np.bincount(row, minlength=len(names))[ordered].astype(np.uint32).tobytes(),
-        "side": tree.side,
-        "mask": tree.mask.tobytes(),
-        "best": tree.best.tobytes(),
-        "row": tree.row.tobytes(),
-        "col": tree.column.tobytes(),
-    }
+class _Block:
+    """Documents of a block; of their texts only the numbers of the terms are kept."""
+
+    def __init__(self):
+        self.ids: list = []
+        self.listed: list[np.ndarray] = []
+        self.numbers: defaultdict[bytes, int] = defaultdict()
+        self.numbers.default_factory = self.numbers.__len__
+        self.size = 0
+
+    def add(self, doc_id, text: str | None) -> None:
+        if found := terms(text):
+            self.ids.append(doc_id)
+            self.listed.append(np.fromiter(map(self.numbers.__getitem__, found), np.int32, len(found)))
+            self.size += len(text)
+
+    def row(self, number: int, documents: int, held: int) -> dict:
+        """One row of the index. Documents stand by id, so that an equal score goes to the lesser id; terms stand by their
+        greatest impact, which puts rows that are alike into the same cells."""
+        order = sorted(range(len(self.ids)), key=lambda i: (pd.isna(self.ids[i]), 0 if pd.isna(self.ids[i]) else self.ids[i]))
+        ids, listed = [self.ids[i] for i in order], [self.listed[i] for i in order]
+        n = np.array([len(x) for x in listed], np.int64)
+        cells = np.concatenate(listed).astype(np.int64)
+        cells *= len(ids)
+        cells += np.repeat(np.arange(len(ids), dtype=np.int32), n)
+        cells, tf = np.unique(cells, return_counts=True)
+        row, column = cells // len(ids), cells % len(ids)
+        value = impacts(tf, n[column], documents, held)
+        greatest = np.zeros(len(self.numbers), np.int64)
+        np.maximum.at(greatest, row, value)
+        ordered = np.lexsort((np.arange(len(greatest)), -greatest))
+        place = np.empty_like(ordered)
+        place[ordered] = np.arange(len(ordered))
+        tree = treap.build(place[row], column, value)
+        names = list(self.numbers)
+        return {
+            "block": number,
+            "ids": [None if pd.isna(i) else int(i) for i in ids],
+            "terms": b" ".join([names[i] for i in ordered]),
+            "found": np.bincount(row, minlength=len(names))[ordered].astype(np.uint32).tobytes(),
+            "side": tree.side,
+            "mask": tree.mask.tobytes(),
+            "best": tree.best.tobytes(),
+            "row": tree.row.tobytes(),
+            "col": tree.column.tobytes(),
+        }
 
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -95,18 +111,15 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         number = TaskContext.get().partitionId() << 32
-        ids, listed, size = [], [], 0
+        block = _Block()
         for batch in batches:
-            for doc_id, text in zip(batch["doc_id"].tolist(), batch["text"].tolist()):
-                if found := terms(text):
-                    ids.append(doc_id)
-                    listed.append(found)
-                    size += len(text)
-                if size >= block_bytes:
-                    yield pd.DataFrame([_block(number, ids, listed, documents, held)])
-                    ids, listed, size, number = [], [], 0, number + 1
-        if ids:
-            yield pd.DataFrame([_block(number, ids, listed, documents, held)])
+            for doc_id, text in zip(batch["doc_id"], batch["text"]):
+                block.add(doc_id, text)
+                if block.size >= block_bytes:
+                    yield pd.DataFrame([block.row(number, documents, held)])
+                    block, number = _Block(), number + 1
+        if block.ids:
+            yield pd.DataFrame([block.row(number, documents, held)])
 
     named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     path = new_stage_path(docs.sparkSession, "search-index")
