@@ -16,37 +16,67 @@ from arrears_mart.schemas import (
     PHASE2_SCHEMAS,
     SOURCE_SCHEMAS,
 )
+from arrears_mart.sources import quoted as Q
 from arrears_mart.sources.headers import ensure_columns, normalise_source
 
 
 _TOO_MANY = "_too_many"  # takes the first field beyond the header's
+#: An empty field stays empty here, so that only a field that is not there is null.
+_FORM = {"quote": '"', "escape": '"', "nullValue": "\x01", "emptyValue": ""}
 
 
 def _csv(spark: SparkSession, multi_line: bool) -> DataFrameReader:
-    # An empty field stays empty here, so that only a field that is not there is null.
-    return spark.read.options(quote='"', escape='"', multiLine=multi_line, nullValue="\x01", emptyValue="", header=True)
+    return spark.read.options(**_FORM, multiLine=multi_line, header=True)
 
 
-def _csv_of_one_header(spark: SparkSession, files: list[str], header: tuple[str, ...], multi_line: bool) -> DataFrame:
-    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(header))]).add(_TOO_MANY, T.StringType())
-    rows = _csv(spark, multi_line).schema(schema).csv(files)
+def _schema(header: tuple[str, ...]) -> T.StructType:
+    return T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(header))]).add(_TOO_MANY, T.StringType())
+
+
+def _fields(rows: DataFrame, header: tuple[str, ...]) -> DataFrame:
     refusal = F.raise_error(F.concat(F.lit("a row has more fields than its header: "), F.coalesce("c0", F.lit(""))))
     rows = rows.where(F.when(F.col(_TOO_MANY).isNull(), F.lit(True)).otherwise(refusal.cast("boolean")))
     return rows.select(*[null_words_to_null(F.col(f"c{i}")).alias(name) for i, name in enumerate(header)])
 
 
-def read_csv_text(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def _csv_of_one_header(spark: SparkSession, files: list[str], header: tuple[str, ...], multi_line: bool) -> DataFrame:
+    return _fields(_csv(spark, multi_line).schema(_schema(header)).csv(files), header)
+
+
+def _csv_of_records(spark: SparkSession, files: list[str], header: tuple[str, ...], facts: DataFrame) -> DataFrame:
+    """Rows of files with line breaks inside quotes, by as many tasks as the files have byte ranges."""
+    own = facts.join(F.broadcast(spark.createDataFrame([(f,) for f in files], "file string")), "file")  # the listed files
+    text = Q.records(spark, files, own)
+    parsed = F.from_csv("record", _schema(header).simpleString()[len("struct<") : -1].replace(":", " "), {**_FORM, "multiLine": "true"})
+    return _fields(text.select(parsed.alias("f")).select("f.*"), header)
+
+
+def read_csv_text(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
     """A CSV file or folder with every column as text, null words as null, canonical names and clean keys.
 
-    Every file is read by its own header (one small job a file finds it) and files with different headers are united by
-    column name; a column that a file does not have is null in its rows. Fields missing at the end of a row are null. A
-    row with more fields than its header ends the job instead of losing them. Line breaks inside quotes are kept, which
-    makes one task a file; large files known to have none can be read with `multi_line=False`, by many tasks.
+    Every file is read by its own header and files with different headers are united by column name; a column that a
+    file does not have is null in its rows. Fields missing at the end of a row are null. A row with more fields than its
+    header ends the job instead of losing them.
+
+    One pass over all files finds their headers and counts their quotes. Files without a line break inside quotes are read
+    line by line, the others are cut at the true ends of their records (`quoted`); both by many tasks a file. What counting
+    cannot cut is read by one task a file, which turns a carriage return and line feed inside quotes into a line feed:
+    quotes that do not pair up, and carriage returns as line ends. `multi_line` is
+    for known files: True reads every file by one task, False says that no quotes hold a line break.
     """
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for file in sorted(_csv(spark, multi_line).csv(path).inputFiles()):
-        groups.setdefault(tuple(_csv(spark, multi_line).csv(file).columns), []).append(file)
-    parts = [normalise_source(_csv_of_one_header(spark, files, h, multi_line)) for h, files in groups.items() if h]
+    facts = Q.range_facts(spark, path)
+    groups: dict[tuple[tuple[str, ...], str], list[str]] = {}
+    for file in Q.file_facts(facts, spark.conf.get("spark.sql.caseSensitive") == "true"):
+        header = file.header or tuple(_csv(spark, True).csv(file.path).columns)
+        way = "lines" if file.split else "records" if file.quoted else "whole"
+        if multi_line is not None:
+            way = "whole" if multi_line else "lines"
+        if header:
+            groups.setdefault((header, way), []).append(file.path)
+    parts = []
+    for (header, way), files in groups.items():
+        rows = _csv_of_records(spark, files, header, facts) if way == "records" else _csv_of_one_header(spark, files, header, way == "whole")
+        parts.append(normalise_source(rows))
     if not parts:
         return spark.createDataFrame([], T.StructType([]))
     return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
@@ -59,7 +89,8 @@ def read_sources(
     file_format: str = "csv",
     **options: object,
 ) -> dict[str, DataFrame]:
-    """Every source found as `<folder>/<name>.<file_format>`; those that are not there are left out.
+    """Every source found as `<folder>/<name>.<file_format>`; those that are not there are left out, and so are rows
+    without a single value.
 
     `options` go to the reader: `multi_line` for CSV, the format's own options otherwise.
     """
@@ -68,9 +99,9 @@ def read_sources(
         path = f"{folder}/{name}.{file_format}"
         try:
             if file_format == "csv":
-                found[name] = read_csv_text(spark, path, **options)
+                found[name] = drop_empty_rows(read_csv_text(spark, path, **options))
             else:
-                found[name] = normalise_source(spark.read.format(file_format).options(**options).load(path))
+                found[name] = drop_empty_rows(normalise_source(spark.read.format(file_format).options(**options).load(path)))
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -78,7 +109,7 @@ def read_sources(
 
 
 def drop_empty_rows(df: DataFrame) -> DataFrame:
-    return df.na.drop("all")
+    return df.na.drop("all") if df.columns else df
 
 
 def _typed(column: Column, given: T.DataType, wanted: T.DataType) -> Column:

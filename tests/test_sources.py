@@ -1,3 +1,4 @@
+import csv
 import datetime as dt
 from decimal import Decimal
 
@@ -6,7 +7,7 @@ import sample
 from pyspark.sql import functions as F
 
 from arrears_mart import schemas
-from arrears_mart.sources import checks, headers, tables
+from arrears_mart.sources import checks, headers, quoted, tables
 
 
 def test_headers_are_tidied_and_known_spellings_recognised():
@@ -118,3 +119,104 @@ def test_usable_key(spark):
     df = spark.createDataFrame([(" ",), (None,)], "NO_DAMA string")
     assert not checks.has_usable_key(df)
     assert checks.has_usable_key(df.union(df.select(F.lit("1"))))
+
+
+def _quoted_file(folder, rows=4000):
+    """A file whose fields hold line breaks, quotes, commas and carriage returns before line feeds, and what it says."""
+    import random
+
+    rng = random.Random(3)
+    bits = ["x", "line\n", '"', ",", "\r\n", "ñandú", " ", "\n\n", "words and words"]
+    wanted = [(str(i), "".join(rng.choices(bits, k=rng.randrange(12))), f"Z{i % 7}") for i in range(rows)]
+    wanted[rows // 2] = ("long", "many lines\n" * 3000, "Z")  # longer than a byte range
+    with open(folder / "q.csv", "w", encoding="utf-8", newline="") as out:
+        csv.writer(out, quoting=csv.QUOTE_MINIMAL, lineterminator="\r\n").writerows([("NO_DAMA", "NOTA", "ZONA"), *wanted])
+    return str(folder / "q.csv"), wanted
+
+
+def test_one_quoted_file_is_cut_by_many_tasks(spark, tmp_path):
+    path, wanted = _quoted_file(tmp_path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        facts = quoted.range_facts(spark, path)
+        cut = quoted.records(spark, [path], facts)
+        assert quoted.physical_lines(spark, path).rdd.getNumPartitions() > 8
+        assert quoted._open_ranges(facts).count() > 1
+        assert cut.count() == len(wanted)
+        found = tables.read_csv_text(spark, path)
+        one_task = tables.read_csv_text(spark, path, multi_line=True)
+        assert one_task.rdd.getNumPartitions() == 1 < found.rdd.getNumPartitions()
+        rows = sorted(map(tuple, found.collect()), key=str)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", before[1])
+    one_feed = lambda r: tuple(v and v.replace("\r\n", "\n") for v in r)  # noqa: E731  # Spark's reader turns them into line feeds
+    assert sorted(map(one_feed, rows), key=str) == sorted(map(tuple, one_task.collect()), key=str)
+    assert {r[0] for r in rows} == {w[0] for w in wanted}
+    assert {r[0]: r[1] for r in rows if r[1] and r[1].strip()} == {w[0]: w[1] for w in wanted if w[1].strip()}
+
+
+def test_records_are_cut_alike_whichever_way_ranges_are_matched(spark, tmp_path, monkeypatch):
+    path, wanted = _quoted_file(tmp_path, 300)
+    facts = quoted.range_facts(spark, path)
+    monkeypatch.setattr(quoted, "BROADCAST_BYTES", -1)
+    assert quoted.records(spark, [path], facts).count() == len(wanted)
+
+
+def test_quotes_that_cannot_be_counted(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('NO_DAMA,NOTA\n1,5" pipe\n2,fine\n', encoding="utf-8")  # an odd number: one task
+    assert sorted(map(tuple, tables.read_csv_text(spark, str(tmp_path / "a.csv")).collect())) == [("1", '5" pipe'), ("2", "fine")]
+    (tmp_path / "b.csv").write_text('NO_DAMA,NOTA\n1,5" pipe\n2,6" pipe\n', encoding="utf-8")
+    with pytest.raises(Exception, match="not doubled"):
+        tables.read_csv_text(spark, str(tmp_path / "b.csv")).collect()
+    assert tables.read_csv_text(spark, str(tmp_path / "b.csv"), multi_line=True).count() == 2
+    (tmp_path / "c.csv").write_bytes(b'NO_DAMA,NOTA\r1,"a\rb"\r2,c\r')
+    assert sorted(r.NO_DAMA for r in tables.read_csv_text(spark, str(tmp_path / "c.csv")).collect()) == ["1", "2"]
+    (tmp_path / "d.csv").write_text('"NO\nDAMA",ZONA\n1,"x\ny"\n', encoding="utf-8")  # a header of two lines
+    assert [tuple(r) for r in tables.read_csv_text(spark, str(tmp_path / "d.csv")).collect()] == [("1", "x\ny")]
+    (tmp_path / "e.csv").write_text("", encoding="utf-8")
+    assert tables.read_csv_text(spark, str(tmp_path / "e.csv")).columns == []
+
+
+def _jobs(spark, action):
+    """The number of Spark jobs that an action runs."""
+    group = f"jobs-{id(action)}"
+    spark.sparkContext.setJobGroup(group, "counted")
+    try:
+        action()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_headers_of_many_files_take_no_more_jobs(spark, tmp_path):
+    for n in (4, 50):
+        folder = tmp_path / str(n)
+        folder.mkdir()
+        for i in range(n):
+            names = "NO_DAMA,ZONA" if i % 2 else "Zona,No. Dama"
+            (folder / f"{i}.csv").write_text(f'{names}\n{i},"{i}"\n', encoding="utf-8")
+    few = _jobs(spark, lambda: tables.read_csv_text(spark, str(tmp_path / "4")))
+    many = _jobs(spark, lambda: tables.read_csv_text(spark, str(tmp_path / "50")))
+    assert 0 < few <= many <= few + 6  # Spark lists more than 32 files by a job of its own
+    found = tables.read_csv_text(spark, str(tmp_path / "50"))
+    assert sorted(found.columns) == ["NO_DAMA", "ZONA"] and found.count() == 50
+
+
+def test_header_names_as_the_reader_gives_them(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('A,,a,"b ""c"""\n1,2,3,4\n', encoding="utf-8")
+    facts = quoted.file_facts(quoted.range_facts(spark, str(tmp_path / "a.csv")))
+    assert [f.header for f in facts] == [tuple(spark.read.csv(str(tmp_path / "a.csv"), header=True, escape='"').columns)]
+
+
+def test_rows_without_a_value_are_dropped(spark, tmp_path):
+    folder = sample.write(tmp_path)
+    path = tmp_path / "CLIENTES.csv"
+    lines = path.read_text(encoding="utf-8").splitlines()
+    before = tables.read_sources(spark, folder)[schemas.CLIENTS].count()
+    path.write_text("\n".join([*lines, "," * lines[0].count(",")]) + "\n", encoding="utf-8")
+    assert tables.read_sources(spark, folder)[schemas.CLIENTS].count() == before
+    tables.read_csv_text(spark, str(path)).write.parquet(str(tmp_path / "p" / "CLIENTES.parquet"))
+    assert tables.read_sources(spark, str(tmp_path / "p"), file_format="parquet")[schemas.CLIENTS].count() == before
