@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arrears_mart.functions.text import has_text
-from arrears_mart.operators.unique import discarded_rows, rows_not_latest
+from arrears_mart.operators.unique import grouped_rows, rows_not_kept
 from arrears_mart.schemas import AUDIT_COLUMNS, CLOCK
 
 # Steps, motives and levels of the audit table.
@@ -29,18 +29,17 @@ NO_COLLECTOR_TEXT = "La zona no tiene cobrador asignado en ZONAS_ASIGNADAS."
 OVERPAID_TEXT = "Pago mayor al adeudo; deuda liquidada, saldo mostrado como 0."
 NEGATIVE_TEXT = "SALDO_FINAL negativo = "
 
-_WHO = ("NO_DAMA", "CAMPANA_SALDO", "ZONA")
+WHO = ("NO_DAMA", "CAMPANA_SALDO", "ZONA")
 
 
-def duplicate_audit(portfolio: DataFrame, kept: DataFrame, text: str) -> DataFrame:
-    """One audit row per portfolio row that was not kept."""
-    return discarded_rows(portfolio, kept, _WHO).select(*_audit_row(STEP_DUPLICATES, DUPLICATE, F.lit(text)))
+def duplicate_audit(grouped: DataFrame, text: str) -> DataFrame:
+    """One audit row per portfolio row that was not kept; `grouped` is `grouped_rows` of the portfolio by `WHO`."""
+    return rows_not_kept(grouped, WHO).select(*_audit_row(STEP_DUPLICATES, DUPLICATE, F.lit(text)))
 
 
 def duplicates_by_order(portfolio: DataFrame, order: Sequence[str], text: str, arrival: str | None = None) -> DataFrame:
-    """The same rows without a table of the kept ones, from one reading of the portfolio."""
-    found = rows_not_latest(portfolio, ["NO_DAMA"], _WHO, order, arrival)
-    return found.select(*_audit_row(STEP_DUPLICATES, DUPLICATE, F.lit(text)))
+    """The same rows from the portfolio itself, which is read once."""
+    return duplicate_audit(grouped_rows(portfolio, ["NO_DAMA"], WHO, order, arrival=arrival), text)
 
 
 def _audit_row(step: str, motive: str, detail: Column) -> list[Column]:

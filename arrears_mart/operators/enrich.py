@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from arrears_mart.functions.addresses import pad_postal_code, postal_code
@@ -149,9 +150,23 @@ def postal_catalogue(rows: DataFrame, arrival: str | None = None) -> DataFrame:
     return first_per_key(known, ["CODIGO_POSTAL"], ["POBLACION", "ESTADO"], arrival_in(rows, arrival))
 
 
-def newest_campaign(accounts: DataFrame) -> Column:
-    """The newest campaign of all accounts, as a scalar subquery."""
-    return accounts.agg(F.max(campaign_number(F.col("CAMPANA_SALDO")))).scalar()
+def newest_campaign(accounts: DataFrame) -> DataFrame:
+    """One row: the newest campaign of all accounts."""
+    return accounts.agg(_newest().alias("NUEVA"))
+
+
+def _newest() -> Column:
+    return F.max(campaign_number(F.col("CAMPANA_SALDO")))
+
+
+def with_newest_campaign(accounts: DataFrame, write: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, Column]:
+    """The accounts, stored by `write`, and their newest campaign, which is observed while they are written.
+
+    The newest campaign must be known before any row gets its age. A subquery would plan the account list a second time.
+    """
+    seen = Observation(f"newest-{uuid.uuid4().hex}")
+    stored = write(accounts.observe(seen, _newest().alias("NUEVA")))
+    return stored, F.lit(seen.get["NUEVA"]).cast("bigint")
 
 
 def fill_place_by_postal_code(

@@ -130,3 +130,16 @@ def newest_run(run_log: DataFrame) -> DataFrame:
 
 def failed_runs(run_log: DataFrame) -> DataFrame:
     return run_log.filter(F.col("ESTATUS") == "ERROR").orderBy(F.desc("ID_EJECUCION"))
+
+
+def joined_names(df: DataFrame, group: Sequence[str], name: str, joined: str, separator: str = ", ") -> DataFrame:
+    """The names of each group in order as one text; missing names are left out, and a group without any has none.
+
+    Equal names of a group are put together first, by all tasks, so that a group costs its different names and not its
+    rows; each name stands as often as it occurs.
+    """
+    counted = df.groupBy(*group, name).agg(row_count("_n"))
+    each = F.array_join(F.array_repeat(F.col(name).cast("string"), F.col("_n").cast("int")), separator)
+    return counted.withColumn("_each", each).groupBy(*group).agg(
+        F.expr(f"listagg(if(`{name}` is null, null, _each), '{separator}') within group (order by `{name}`)").alias(joined)
+    )

@@ -73,21 +73,45 @@ def discarded_rows(df: DataFrame, kept: DataFrame, columns: Sequence[str]) -> Da
     return repeat_rows(left, "_n")
 
 
-def rows_not_latest(
-    df: DataFrame, keys: Sequence[str], columns: Sequence[str], order: Sequence[str], arrival: str | None = None
+def grouped_rows(
+    df: DataFrame,
+    keys: Sequence[str],
+    columns: Sequence[str],
+    order: Sequence[str],
+    payload: Sequence[str] | None = None,
+    arrival: str | None = None,
 ) -> DataFrame:
-    """`columns`, which include `keys`, of all rows but the one `latest_per_key` keeps, from one reading of `df`.
+    """`columns`, which include `keys`, with `_n`, the number of rows, `_best`, the best of them, and whether that is the one
+    that `latest_per_key` keeps, `_kept`. One reading of `df` serves both `kept_rows` and `rows_not_kept`.
 
     Rows are first counted and reduced to their best one per distinct `columns`, with a map-side part; what is then sorted
-    by key is one row for each of these.
+    by key is one row for each of these. `payload` must hold the other `columns`, so that no two best rows are equal.
     """
-    best = F.max(ranked_row(order, [c for c in df.columns if c not in keys], arrival)).alias("_best")
+    if payload is None:
+        payload = [c for c in df.columns if c not in keys]
+    best = F.max(ranked_row(order, payload, arrival)).alias("_best")
     grouped = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"), best)
-    kept = (F.col("_best") == F.max("_best").over(Window.partitionBy(*keys))).cast("bigint")
-    left = grouped.select(*columns, (F.col("_n") - kept).alias("_n")).filter("_n > 0")
+    return grouped.withColumn("_kept", F.col("_best") == F.max("_best").over(Window.partitionBy(*keys)))
+
+
+def kept_rows(grouped: DataFrame, keys: Sequence[str], payload: Sequence[str]) -> DataFrame:
+    """The row of each key that is kept."""
+    return grouped.filter("_kept").select(*keys, *[F.col("_best")[c].alias(c) for c in payload])
+
+
+def rows_not_kept(grouped: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """`columns` of all other rows; copies stay separate rows."""
+    left = grouped.select(*columns, (F.col("_n") - F.col("_kept").cast("bigint")).alias("_n")).filter("_n > 0")
     return repeat_rows(left, "_n")
 
 
+def rows_not_latest(
+    df: DataFrame, keys: Sequence[str], columns: Sequence[str], order: Sequence[str], arrival: str | None = None
+) -> DataFrame:
+    """`columns`, which include `keys`, of all rows but the one `latest_per_key` keeps, from one reading of `df`."""
+    return rows_not_kept(grouped_rows(df, keys, columns, order, arrival=arrival), columns)
+
+
 def repeat_rows(df: DataFrame, times: str) -> DataFrame:
     """Each row as often as `times` says; the copies of a row with very many are spread over tasks.
 

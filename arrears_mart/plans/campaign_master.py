@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -19,8 +20,8 @@ from arrears_mart.functions.dates import days_overdue, run_clock
 from arrears_mart.functions.text import blank_to_null, closing_code, digits_only, has_text, join_words
 from arrears_mart.operators import audit as A
 from arrears_mart.operators import enrich as E
-from arrears_mart.operators.metrics import counted, with_coverage
-from arrears_mart.operators.unique import latest_per_key
+from arrears_mart.operators.metrics import counted, match_flags, matches, run_totals
+from arrears_mart.operators.unique import grouped_rows, kept_rows, latest_per_key
 from arrears_mart.plans.result import MasterResult, missing_error, stopped
 from arrears_mart.schemas import (
     ACCOUNT_KEY,
@@ -31,6 +32,7 @@ from arrears_mart.schemas import (
     CLIENTS,
     CONTACTS,
     PORTFOLIO,
+    RUN_COUNTS,
     ZONES,
     columns_of,
 )
@@ -71,9 +73,33 @@ def latest_accounts(portfolio: DataFrame, arrival: str | None = None) -> DataFra
     return latest_per_key(E.keyed(portfolio), ["NO_DAMA"], LATEST_FIRST, payload, E.arrival_in(portfolio, arrival))
 
 
-def all_accounts(portfolio: DataFrame, arrears: DataFrame, run_ts: dt.datetime, arrival: str | None = None) -> DataFrame:
+def grouped_portfolio(portfolio: DataFrame, arrival: str | None = None) -> DataFrame:
+    """The portfolio reduced to what both the kept accounts and the audit of the others need (`grouped_rows`)."""
+    payload = _others(PORTFOLIO, "NO_DAMA")
+    return grouped_rows(E.keyed(portfolio), ["NO_DAMA"], A.WHO, LATEST_FIRST, payload, E.arrival_in(portfolio, arrival))
+
+
+def accounts_and_duplicates(
+    portfolio: DataFrame,
+    text: str,
+    arrival: str | None,
+    write: Callable[[DataFrame], DataFrame] | None,
+    step_counts: dict[str, Observation] | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """The latest row of each account, and the audit of the others.
+
+    With `write`, which stores a frame, one full reading of the portfolio serves both; without, each reads it once. Then
+    `step_counts` gets the number of accounts.
+    """
+    if write is None:
+        order = E.arrival_in(portfolio, arrival)
+        return latest_accounts(portfolio, arrival), A.duplicates_by_order(E.keyed(portfolio), LATEST_FIRST, text, order)
+    grouped = write(counted(grouped_portfolio(portfolio, arrival), "PASO1_CUENTAS", step_counts, F.count_if(F.col("_kept"))))
+    return kept_rows(grouped, ["NO_DAMA"], _others(PORTFOLIO, "NO_DAMA")), A.duplicate_audit(grouped, text)
+
+
+def all_accounts(latest: DataFrame, arrears: DataFrame, run_ts: dt.datetime, arrival: str | None = None) -> DataFrame:
     """Latest portfolio rows and the accounts only arrears has."""
-    latest = latest_accounts(portfolio, arrival)
     extras = E.accounts_only_in_arrears(latest, arrears, arrival)
     return E.append_new_accounts(latest, extras, run_clock(run_ts))
 
@@ -111,6 +137,7 @@ def fill_gaps(df: DataFrame) -> DataFrame:
     filled |= of("GES", *E.LAST_CONTACT) | of("ZON", "REGION", "DIVISION", "RUTA")
     filled["FECHA_ULTIMA_LLAMADA"] = F.col("GES.FECHA_ULTIMA_LLAMADA").cast("date")
     filled["COBRADOR_ZONA"] = F.col("ZON.ID_COBRADOR")
+    filled |= match_flags()
     kept = [c for c in df.columns if c not in filled and c not in ("CLI", "MORA", "GES", "ZON")]
     wide = df.select(*kept, *[c.alias(n) for n, c in filled.items()])
     street = F.nullif(join_words(*[F.col(c) for c in _FROM_ADDRESS]), F.lit(""))
@@ -138,17 +165,18 @@ def add_indicators(df: DataFrame, newest: Column, run_ts: dt.datetime) -> DataFr
     )
     run_date = F.lit(run_ts.date())
     out = is_expired(F.col("FECHA_FINAL_VIGENCIA"), run_date, F.col("TEMPORALIDAD"), F.col("PAGOS_DAMA"))
-    return stated.withColumn("EXCLUIDA", out).select(*CAMPAIGN_MASTER_COLUMNS, "SOBREPAGO", "EXCLUIDA")
+    return stated.withColumn("EXCLUIDA", out).select(*CAMPAIGN_MASTER_COLUMNS, "SOBREPAGO", "EXCLUIDA", *match_flags())
 
 
 def enrich_accounts(
     accounts: DataFrame,
     sources: dict[str, DataFrame],
+    newest: Column,
     run_ts: dt.datetime,
     postal_codes: DataFrame | None = None,
     arrival: str | None = None,
 ) -> DataFrame:
-    """All accounts with every master column, plus the flags `SOBREPAGO` and `EXCLUIDA`.
+    """All accounts with every master column, plus the flags `SOBREPAGO` and `EXCLUIDA` and which sources matched.
 
     The joins on the account come first and share one partitioning of the accounts; the lookups follow. Each adds a
     struct, so the rows stay narrow until `fill_gaps`.
@@ -159,27 +187,28 @@ def enrich_accounts(
     joined = E.join_balance_by_campaign_digits(joined, sources[BALANCES], arrival)
     joined = E.join_zones(joined, sources[ZONES], arrival)
     placed = E.fill_place_by_postal_code(fill_gaps(joined), postal_codes, arrival)
-    return add_indicators(placed, E.newest_campaign(accounts), run_ts)
+    return add_indicators(placed, newest, run_ts)
 
 
-def run_counts(accounts: DataFrame, enriched: DataFrame, processed: int) -> DataFrame:
-    """One row of run counts, from one pass over the enriched accounts and one over the account list."""
+def run_aggregates() -> dict[str, Column]:
+    """What the run counts need of the enriched accounts, all of it in one pass."""
     kept = ~F.col("EXCLUIDA")
-    counted = enriched.agg(
-        F.count_if(kept).alias("REG_CONSOLIDADOS"),
-        F.count_if(kept & (F.col("CARTERA_MORAS") == "NUEVA")).alias("REG_NUEVOS_MORAS"),
-        F.count_if("EXCLUIDA").alias("REG_EXCLUIDOS_VIGENCIA"),
-        (F.count_if(kept & A.without_collector()) + F.count_if(kept & F.col("SOBREPAGO"))).alias("_warned"),
-    )
-    latest = accounts.agg(F.count_if(F.col("CARTERA_MORAS") == "")).scalar()
-    flagged = F.lit(processed) - latest + F.col("REG_EXCLUIDOS_VIGENCIA") + F.col("_warned")
-    return counted.select(
-        F.lit(processed).cast("bigint").alias("REG_PROCESADOS"),
-        "REG_CONSOLIDADOS",
-        "REG_NUEVOS_MORAS",
-        "REG_EXCLUIDOS_VIGENCIA",
-        flagged.alias("REG_CON_ERROR"),
-    )
+    return {
+        "REG_CONSOLIDADOS": F.count_if(kept),
+        "REG_NUEVOS_MORAS": F.count_if(kept & (F.col("CARTERA_MORAS") == "NUEVA")),
+        "REG_EXCLUIDOS_VIGENCIA": F.count_if(F.col("EXCLUIDA")),
+        "_latest": F.count_if(F.col("CARTERA_MORAS") == ""),
+        "_unassigned": F.count_if(kept & A.without_collector()),
+        "_overpaid": F.count_if(kept & F.col("SOBREPAGO")),
+        **matches(kept),
+    }
+
+
+def run_counts(totals: DataFrame, processed: int) -> DataFrame:
+    """One row of run counts from one row of `run_aggregates`."""
+    flagged = F.lit(processed) - F.col("_latest") + F.col("REG_EXCLUIDOS_VIGENCIA") + F.col("_unassigned") + F.col("_overpaid")
+    counts = totals.withColumns({"REG_PROCESADOS": F.lit(processed).cast("bigint"), "REG_CON_ERROR": flagged})
+    return counts.select(*RUN_COUNTS)
 
 
 def build_campaign_master(
@@ -195,9 +224,11 @@ def build_campaign_master(
 
     `postal_codes` are catalogue rows, not necessarily unique; without them towns and states stay as they are.
     `arrival` names a numeric column with the file order of the rows; sources that have it use it to break ties.
-    With `write_stages` the account list and the enriched accounts are written once and master, audit and counts read
-    them back; turn it off when only the master is wanted, and nothing is written. With `step_counts` the rows of each
-    stage table are counted while it is written: `step_counts["PASO1_CUENTAS"].get["FILAS"]`.
+    The account list is always written once, because its newest campaign, observed meanwhile, must be known before any
+    account gets its age. With `write_stages` the reduced portfolio and the enriched accounts are written once as well and
+    master and audit read them back; the run counts are observed while the enriched accounts are written. Turn it off when
+    only one of these is wanted. With `step_counts` the rows of each stage table are counted while it is written:
+    `step_counts["PASO1_CUENTAS"].get["FILAS"]`.
     """
     error = missing_error(sources)
     if error:
@@ -210,23 +241,21 @@ def build_campaign_master(
     for name in (PORTFOLIO, ARREARS, BALANCES):
         typed[name] = with_normal_campaign(typed[name], facts["ANIO"])
 
-    # The newest campaign must be known before any row gets its age, so this narrow table is read twice.
     stages: list[str] = []
-    accounts = all_accounts(typed[PORTFOLIO], typed[ARREARS], run_ts, arrival)
-    if write_stages:
-        accounts = stage_table(counted(accounts, "PASO1_CUENTAS", step_counts), "accounts", stages)
-    enriched = enrich_accounts(accounts, typed, run_ts, postal_codes, arrival)
+    write = (lambda name: lambda df: stage_table(df, name, stages)) if write_stages else lambda name: None
+    latest, duplicates = accounts_and_duplicates(typed[PORTFOLIO], A.DUPLICATE_TEXT_CAMPAIGN, arrival, write("portfolio"))
+    accounts = counted(all_accounts(latest, typed[ARREARS], run_ts, arrival), "PASO1_CUENTAS", step_counts)
+    accounts, newest = E.with_newest_campaign(accounts, lambda df: stage_table(df, "accounts", stages))
+    enriched = enrich_accounts(accounts, typed, newest, run_ts, postal_codes, arrival)
     if write_stages:
-        enriched = stage_table(counted(enriched, "PASO2_COMPLETAS", step_counts), "enriched", stages)
+        enriched = counted(enriched, "PASO2_COMPLETAS", step_counts)
+    enriched, totals = run_totals(enriched, run_aggregates(), write("enriched"))
 
     kept, out = ~F.col("EXCLUIDA"), F.col("EXCLUIDA")
     checks = [A.expired_finding(out), A.no_collector_finding(kept), A.overpaid_finding(kept, F.col("SOBREPAGO"))]
-    latest = accounts.filter(F.col("CARTERA_MORAS") == "")
-    duplicates = A.duplicate_audit(E.keyed(typed[PORTFOLIO]), latest, A.DUPLICATE_TEXT_CAMPAIGN)
-    base = enriched.filter(kept).select(*CAMPAIGN_MASTER_COLUMNS)
     return MasterResult(
-        base=base,
+        base=enriched.filter(kept).select(*CAMPAIGN_MASTER_COLUMNS),
         audit=duplicates.unionByName(A.findings_audit(enriched, checks)),
-        metrics=with_coverage(run_counts(accounts, enriched, facts["REG_PROCESADOS"]), base, sources),
+        metrics=run_counts(totals, facts["REG_PROCESADOS"]),
         stages=stages,
     )

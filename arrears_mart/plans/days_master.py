@@ -12,8 +12,8 @@ from arrears_mart.functions.dates import age_by_days, days_overdue, run_clock
 from arrears_mart.functions.text import closing_code, has_text, join_parts
 from arrears_mart.operators import audit as A
 from arrears_mart.operators import enrich as E
-from arrears_mart.operators.metrics import counted, with_coverage
-from arrears_mart.plans.campaign_master import latest_accounts
+from arrears_mart.operators.metrics import counted, match_flags, matches, run_totals
+from arrears_mart.plans.campaign_master import accounts_and_duplicates
 from arrears_mart.plans.result import MasterResult, missing_error, stopped
 from arrears_mart.schemas import (
     ARREARS,
@@ -23,6 +23,7 @@ from arrears_mart.schemas import (
     CONTACTS,
     DAYS_MASTER_COLUMNS,
     PORTFOLIO,
+    RUN_COUNTS,
     ZONES,
     columns_of,
 )
@@ -44,7 +45,7 @@ def arrears_shape(row: dict[str, Column]) -> dict[str, Column]:
 def enrich_by_days(
     latest: DataFrame, sources: dict[str, DataFrame], run_ts: dt.datetime, arrival: str | None = None
 ) -> DataFrame:
-    """Latest accounts with every column of the master by days."""
+    """Latest accounts with every column of the master by days, and which sources matched."""
     # The balance join is on (account, campaign), so it goes first, while the rows are narrow.
     joined = E.join_balance_by_campaign(latest, sources[BALANCES], arrival)
     joined = E.join_clients(joined, sources[CLIENTS], arrival, client_shape)
@@ -64,7 +65,8 @@ def enrich_by_days(
         "TEMPORALIDAD": age_by_days(days),
         "FECHA_ACTUALIZACION": run_clock(run_ts),
     }
-    return joined.select(*[columns.get(c, F.col(c)).alias(c) for c in DAYS_MASTER_COLUMNS])
+    flags = [c.alias(n) for n, c in match_flags().items()]
+    return joined.select(*[columns.get(c, F.col(c)).alias(c) for c in DAYS_MASTER_COLUMNS], *flags)
 
 
 def build_days_master(
@@ -75,29 +77,30 @@ def build_days_master(
     write_stages: bool = True,
     step_counts: dict[str, Observation] | None = None,
 ) -> MasterResult:
-    """Build the master by day rules; see `build_campaign_master` for the arguments."""
+    """Build the master by day rules; see `build_campaign_master` for the arguments. Nothing is written without stages."""
     error = missing_error(sources)
     if error:
         return stopped(spark, error)
     typed = typed_sources(sources, arrival)
     portfolio, stages = typed[PORTFOLIO], []
-    latest = latest_accounts(portfolio, arrival)
+    write = (lambda name: lambda df: stage_table(df, name, stages)) if write_stages else lambda name: None
+    latest, duplicates = accounts_and_duplicates(portfolio, A.DUPLICATE_TEXT_DAYS, arrival, write("portfolio"), step_counts)
+    enriched = enrich_by_days(latest, typed, run_ts, arrival)
     if write_stages:
-        latest = stage_table(counted(latest, "PASO1_CUENTAS", step_counts), "latest", stages)
-    base = enrich_by_days(latest, typed, run_ts, arrival)
-    if write_stages:
-        base = stage_table(counted(base, "PASO2_COMPLETAS", step_counts), "base", stages)
-    duplicates = A.duplicate_audit(E.keyed(portfolio), latest, A.DUPLICATE_TEXT_DAYS)
-    checks = [A.no_collector_finding(F.lit(True)), A.negative_finding()]
+        enriched = counted(enriched, "PASO2_COMPLETAS", step_counts)
+    aggregates = {
+        "REG_CONSOLIDADOS": F.count(F.lit(1)),
+        "_unassigned": F.count_if(A.without_collector()),
+        "_negative": F.count_if(F.col("SALDO_FINAL") < 0),
+        **matches(F.lit(True)),
+    }
+    enriched, totals = run_totals(enriched, aggregates, write("base"))
+    base = enriched.select(*DAYS_MASTER_COLUMNS)
     read = portfolio.agg(F.struct(F.count(F.lit(1)).alias("all"), F.count_if(has_text(F.col("NO_DAMA"))).alias("usable"))).scalar()
-    metrics = base.agg(
-        read["all"].alias("REG_PROCESADOS"),
-        F.count(F.lit(1)).alias("REG_CONSOLIDADOS"),
-        F.lit(0).cast("bigint").alias("REG_NUEVOS_MORAS"),
-        F.lit(0).cast("bigint").alias("REG_EXCLUIDOS_VIGENCIA"),
-        (
-            F.max(read["usable"]) - F.count(F.lit(1)) + F.count_if(A.without_collector()) + F.count_if(F.col("SALDO_FINAL") < 0)
-        ).alias("REG_CON_ERROR"),
+    none = F.lit(0).cast("bigint")
+    flagged = read["usable"] - F.col("REG_CONSOLIDADOS") + F.col("_unassigned") + F.col("_negative")
+    metrics = totals.withColumns(
+        {"REG_PROCESADOS": read["all"], "REG_NUEVOS_MORAS": none, "REG_EXCLUIDOS_VIGENCIA": none, "REG_CON_ERROR": flagged}
     )
-    audit = duplicates.unionByName(A.findings_audit(base, checks))
-    return MasterResult(base, audit, with_coverage(metrics, base, sources), stages=stages)
+    audit = duplicates.unionByName(A.findings_audit(base, [A.no_collector_finding(F.lit(True)), A.negative_finding()]))
+    return MasterResult(base, audit, metrics.select(*RUN_COUNTS), stages=stages)

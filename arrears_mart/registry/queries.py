@@ -40,7 +40,7 @@ from arrears_mart.schemas import (
 )
 from arrears_mart.sinks import publish as K
 from arrears_mart.sources import checks, headers, tables
-from arrears_mart.stages import new_stage_path
+from arrears_mart.stages import new_stage_path, stage_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -88,7 +88,12 @@ def latest(spark: SparkSession, folder: str) -> DataFrame:
 
 def accounts(spark: SparkSession, folder: str) -> DataFrame:
     sources = normal(spark, folder)
-    return C.all_accounts(sources[PORTFOLIO], sources[ARREARS], RUN_TS, ARRIVAL)
+    return C.all_accounts(C.latest_accounts(sources[PORTFOLIO], ARRIVAL), sources[ARREARS], RUN_TS, ARRIVAL)
+
+
+def dated_accounts(spark: SparkSession, folder: str) -> tuple[DataFrame, Column]:
+    """The stored account list and its newest campaign."""
+    return E.with_newest_campaign(accounts(spark, folder), lambda df: stage_table(df, "accounts"))
 
 
 def messy(spark: SparkSession, folder: str) -> DataFrame:
@@ -419,8 +424,7 @@ _COVERAGE_SQL = " union all ".join(
 
 @query("j10_coverage", _COVERAGE_SQL)
 def j10(spark, folder):
-    base = campaign_result(spark, folder, write_stages=True).base
-    return M.coverage(base, fixture_sources(spark, folder))
+    return M.coverage_of_run(campaign_result(spark, folder).metrics)
 
 
 @query(
@@ -437,8 +441,8 @@ def j11(spark, folder):
 
 @query("j12_newest_on_each_row", "select NO_DAMA, CAMPANA_SALDO, (select n from newest) as NUEVA from acc")
 def j12(spark, folder):
-    rows = accounts(spark, folder)
-    return rows.select("NO_DAMA", "CAMPANA_SALDO", E.newest_campaign(rows).alias("NUEVA"))
+    rows, newest = dated_accounts(spark, folder)
+    return rows.select("NO_DAMA", "CAMPANA_SALDO", newest.alias("NUEVA"))
 
 
 # ---- one row per key -----------------------------------------------------------------------------------------
@@ -610,13 +614,12 @@ def g13(spark, folder):
 
 @query("g14_newest_campaign", "select n as NUEVA from newest")
 def g14(spark, folder):
-    return accounts(spark, folder).agg(F.max(campaigns.campaign_number(F.col("CAMPANA_SALDO"))).alias("NUEVA"))
+    return E.newest_campaign(accounts(spark, folder))
 
 
 @query("g15_joined_names", "select REGION, string_agg(ZONA, ', ' order by ZONA) as ZONAS from fx_zonas group by 1")
 def g15(spark, folder):
-    zones = fixture(spark, folder, "fx_zonas")
-    return zones.groupBy("REGION").agg(F.array_join(F.array_sort(F.collect_list("ZONA")), ", ").alias("ZONAS"))
+    return I.joined_names(fixture(spark, folder, "fx_zonas"), ["REGION"], "ZONA", "ZONAS")
 
 
 @query("o3_newest_run", "select * from fx_runs order by ID_EJECUCION desc limit 1")
@@ -745,8 +748,8 @@ messy_query("f24_run_time", f"{O.RUN_TS} as FECHA_ACTUALIZACION", lambda: {"FECH
 
 @query("f9_age_campaign", f"select NO_DAMA, CAMPANA_SALDO, {O.age('CAMPANA_SALDO', '(select n from newest)')} as TEMPORALIDAD from acc")
 def f9(spark, folder):
-    rows = accounts(spark, folder)
-    age = campaigns.age_by_campaign(F.col("CAMPANA_SALDO"), E.newest_campaign(rows))
+    rows, newest = dated_accounts(spark, folder)
+    age = campaigns.age_by_campaign(F.col("CAMPANA_SALDO"), newest)
     return rows.select("NO_DAMA", "CAMPANA_SALDO", age.alias("TEMPORALIDAD"))
 
 
@@ -757,8 +760,8 @@ def f9(spark, folder):
     "from acc a left join fx_zonas z on z.ZONA=a.ZONA",
 )
 def f18(spark, folder):
-    rows = accounts(spark, folder)
-    age = campaigns.age_by_campaign(F.col("CAMPANA_SALDO"), E.newest_campaign(rows))
+    rows, newest = dated_accounts(spark, folder)
+    age = campaigns.age_by_campaign(F.col("CAMPANA_SALDO"), newest)
     zoned = E.join_zones(rows, typed(spark, folder)[ZONES], ARRIVAL)
     who = balances.collector(age, F.col("ID_COBRADOR"), F.col("ZON.ID_COBRADOR"))
     return zoned.select("NO_DAMA", "CAMPANA_SALDO", who.alias("ID_COBRADOR"))

@@ -152,14 +152,14 @@ def test_row_order_and_partitions_do_not_matter(spark, sources):
 
 
 def test_coverage(spark, sources):
-    base = campaign(spark, sources, "2026-04-15").base
-    covered = metrics.coverage(base, sources)
-    assert {r.FUENTE: (r.CRUZARON, r.PORCENTAJE) for r in covered.collect()} == {
-        "CLIENTES": (5, 100.0),
-        "ZONAS_ASIGNADAS": (4, 80.0),
-        "CARTERA_MORA": (3, 60.0),
-        "LAYOUT_ARABELA": (3, 60.0),
-    }
+    result = campaign(spark, sources, "2026-04-15")
+    for covered in (metrics.coverage(result.base, sources), metrics.coverage_of_run(result.metrics)):
+        assert {r.FUENTE: (r.CRUZARON, r.PORCENTAJE) for r in covered.collect()} == {
+            "CLIENTES": (5, 100.0),
+            "ZONAS_ASIGNADAS": (4, 80.0),
+            "CARTERA_MORA": (3, 60.0),
+            "LAYOUT_ARABELA": (3, 60.0),
+        }
 
 
 @pytest.mark.parametrize("build", [build_campaign_master, build_days_master])
@@ -230,3 +230,41 @@ def test_invariants_of_the_test_tables(spark):
     assert sum(audit.values()) == counts.REG_CON_ERROR
     assert result.base.filter("SALDO_ACTUALIZADO < 0 or PAGOS_DAMA < 0").isEmpty()
     assert indicators.has_unique_keys(result.base, ["NO_DAMA", "CAMPANA_SALDO"])
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _stored(spark, sources, folder):
+    """The sources as Parquet tables, whose scans a plan names."""
+    for name, df in sources.items():
+        df.write.parquet(f"{folder}/{name}")
+    return {name: spark.read.parquet(f"{folder}/{name}") for name in sources}
+
+
+@pytest.mark.parametrize("build", [build_campaign_master, build_days_master])
+def test_a_run_reads_each_source_once(spark, sources, build, tmp_path):
+    stored = _stored(spark, sources, str(tmp_path))
+    result = build(spark, stored, at("2026-04-15"))
+    # What is left to read are the stage tables; the day rules count all portfolio rows, by the key alone.
+    for frame in (result.base, result.audit, result.metrics):
+        plan = _plan(frame)
+        assert not any(f"{tmp_path}/{name}" in plan for name in sources if name != schemas.PORTFOLIO)
+        assert plan.count(f"{tmp_path}/{schemas.PORTFOLIO}") <= (build is build_days_master and frame is result.metrics)
+    alone = build(spark, stored, at("2026-04-15"), write_stages=False)
+    assert alone.metrics.first() == result.metrics.first()
+    for name in (schemas.CLIENTS, schemas.CONTACTS, schemas.BALANCES):  # coverage reads no source of its own
+        assert _plan(alone.metrics).count(f"{tmp_path}/{name}") <= 1
+
+
+def test_the_account_list_is_planned_once(spark, sources, tmp_path):
+    stored = _stored(spark, sources, str(tmp_path))
+    plan = _plan(campaign(spark, stored, "2026-04-15", write_stages=False).base)
+    assert f"{tmp_path}/{schemas.PORTFOLIO}" not in plan and plan.count("accounts-") == 1
+
+
+def test_names_are_joined_in_order(spark):
+    rows = [("a", "z"), ("a", None), ("a", "b"), ("a", "b"), ("n", None), (None, "q"), ("a", "ñ"), ("a", "")]
+    found = indicators.joined_names(spark.createDataFrame(rows, "g string, v string").repartition(4), ["g"], "v", "names", "; ")
+    assert {r.g: r.names for r in found.collect()} == {"a": "; b; b; z; ñ", "n": None, None: "q"}
