@@ -93,6 +93,13 @@ def join_contacts(
     return joined.withColumn("NUMERO_GESTIONES", F.coalesce("NUMERO_GESTIONES", F.lit(0)))
 
 
+def master_with_contacts(master: DataFrame, contacts: DataFrame) -> DataFrame:
+    """Per account of a master its rows, and how many contacts it has had (null: none)."""
+    made = keyed(contacts).groupBy("NO_DAMA").agg(F.count(F.lit(1)).alias("GESTIONES"))
+    accounts = master.groupBy("NO_DAMA").agg(F.count(F.lit(1)).alias("FILAS"))
+    return accounts.join(made, "NO_DAMA", "left").select("NO_DAMA", "FILAS", "GESTIONES")
+
+
 def balances_by_account(balances: DataFrame, arrival: str | None = None) -> DataFrame:
     """One row per account with a map from the last two campaign digits to the reported balance.
 

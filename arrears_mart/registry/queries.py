@@ -863,6 +863,18 @@ def k1(spark, folder):
     return K.read_master(spark, published(spark, folder))
 
 
+_BY_CONTACTS = (
+    "select m.NO_DAMA, count(*) as FILAS, max(n.N) as GESTIONES from m1 m left join contacts_n n on n.NO_DAMA=m.NO_DAMA group by 1"
+)
+
+
+@query("k1_master_by_account", _BY_CONTACTS)
+def k1_by_account(spark, folder):
+    """The published master joined and grouped by account, which exchanges the contacts but not the master."""
+    master = K.master_by_account(spark, published(spark, folder))
+    return E.master_with_contacts(master, fixture(spark, folder, "fx_arabela"))
+
+
 @query("k2_published_audit", f"select cast({_RUN_ID} as bigint) as ID_EJECUCION, {O.RUN_TS} as FECHA_HORA, * from m1_audit")
 def k2(spark, folder):
     return K.read_audit(spark, published(spark, folder))
@@ -902,7 +914,44 @@ def k5(spark, folder):
     path = new_stage_path(spark, "report")
     log = K.log_row(spark, _RUN_ID, K.SUCCESS, RUN_TS, _ended(), result.metrics)
     K.write_report(result.base, result.audit, log, path)
-    return spark.read.csv(f"{path}/AUDITORIA_RECHAZOS", header=True, escape='"')
+    return K.read_report(spark, path)["AUDITORIA_RECHAZOS"]
+
+
+_LOG_SHOWN = ("ID_EJECUCION", "PROCESO", "ESTATUS", "REG_PROCESADOS", "REG_CONSOLIDADOS", "REG_CON_ERROR", "MENSAJE")
+
+
+def _as_rows(name: str, sql: str, columns: tuple[str, ...]) -> str:
+    listed = ", ".join(f'"{c}"' for c in columns)
+    return f"select '{name}' as TABLA, concat_ws('|', {listed}) as FILA from ({_csv_text(sql, columns)}) r"
+
+
+@query(
+    "k5_report",
+    " union all ".join(
+        [
+            _as_rows("MASTER", _EXPORT_SQL, _EXPORTED),
+            _as_rows("AUDITORIA_RECHAZOS", "select * from m1_audit", A.AUDIT_COLUMNS),
+            _as_rows(
+                "BITACORA",
+                f"select {_RUN_ID} as ID_EJECUCION, '{K.PROCESS_NAME}' as PROCESO, 'EXITO' as ESTATUS, (select count(*) from cart) as REG_PROCESADOS, "
+                "(select count(*) from m1) as REG_CONSOLIDADOS, (select count(*) from m1_audit) as REG_CON_ERROR, "
+                "'Proceso completado. Consolidados='||(select count(*) from m1)||', Incidencias='||(select count(*) from m1_audit)||'.' as MENSAJE",
+                _LOG_SHOWN,
+            ),
+        ]
+    ),
+)
+def k5_all(spark, folder):
+    """Every row of all three tables of a report that was written twice, as one text."""
+    result = campaign_result(spark, folder, write_stages=True)
+    path = new_stage_path(spark, "report")
+    log = K.log_row(spark, _RUN_ID, K.SUCCESS, RUN_TS, _ended(), result.metrics)
+    K.write_report(result.base.limit(1), result.audit.limit(1), log, path, lambda: RUN_TS)
+    K.write_report(result.base, result.audit, log, path, _ended)
+    found = K.read_report(spark, path)
+    shown = {"MASTER": _EXPORTED, "AUDITORIA_RECHAZOS": A.AUDIT_COLUMNS, "BITACORA": _LOG_SHOWN}
+    rows = [found[n].select(F.lit(n).alias("TABLA"), F.concat_ws("|", *columns).alias("FILA")) for n, columns in shown.items()]
+    return functools.reduce(DataFrame.unionByName, rows)
 
 
 @query(

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import dataclasses
 import datetime as dt
+import re
 import uuid
 from collections.abc import Callable
 
@@ -27,14 +28,33 @@ OPEN, SUCCESS, FAILURE = "EN_PROCESO", "EXITO", "ERROR"
 _COUNTS = RUN_COUNTS
 
 
-def new_attempt(root: str, run_id: int) -> str:
-    """A folder no other attempt has."""
-    return f"{root}/runs/run-{run_id}-{uuid.uuid4().hex}"
+def new_attempt(root: str, run_id: int, buckets: int = 0) -> str:
+    """A folder no other attempt has; its name says into how many buckets its master is dealt (0: none)."""
+    return f"{root}/runs/run-{run_id}-b{buckets}-{uuid.uuid4().hex}"
+
+
+def buckets_of(attempt: str) -> int:
+    """The number of buckets that an attempt's name states."""
+    found = re.search(r"/run-\d+-b(\d+)-[0-9a-f]+$", attempt)
+    return int(found.group(1)) if found else 0
 
 
 def write_master(base: DataFrame, attempt: str) -> None:
-    """Write a master, rows sorted by account within files so readers can skip row groups."""
-    base.sortWithinPartitions("NO_DAMA").write.parquet(f"{attempt}/master")
+    """Write a master, dealt by account into the buckets that the attempt's name states, rows sorted by account.
+
+    One task writes one bucket. Later joins on the account read the buckets as they are (`master_by_account`), and readers
+    of one account skip row groups.
+    """
+    buckets = buckets_of(attempt)
+    if not buckets:
+        base.sortWithinPartitions("NO_DAMA").write.parquet(f"{attempt}/master")
+        return
+    spark, table = base.sparkSession, f"writing_{uuid.uuid4().hex}"
+    dealt = base.repartition(buckets, "NO_DAMA").write.bucketBy(buckets, "NO_DAMA").sortBy("NO_DAMA")
+    try:
+        dealt.option("path", f"{attempt}/master").saveAsTable(table)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")  # the files stay
 
 
 def write_audit(audit: DataFrame, attempt: str, run_id: int, moment: dt.datetime) -> None:
@@ -118,8 +138,33 @@ def read_master(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(master_path(spark, root))
 
 
-def point_table(spark: SparkSession, table: str, path: str) -> None:
-    """Make a catalogue table show the files under `path`, leaving earlier runs in place."""
+def master_by_account(spark: SparkSession, root: str) -> DataFrame:
+    """The master of the newest successful run as its buckets, so that joins and groups by account do not exchange it.
+
+    The buckets are known to a catalogue table named after the attempt, which is made if it is not there.
+    """
+    found = _current(spark, root)
+    if found is None:
+        raise ValueError(f"no successful run under {root}")
+    if not buckets_of(found.RUTA):
+        return spark.read.parquet(f"{found.RUTA}/master")
+    table = f"master_{found.RUTA.rsplit('-', 1)[1]}"
+    if not spark.catalog.tableExists(table):
+        point_table(spark, table, f"{found.RUTA}/master", buckets_of(found.RUTA))
+    return spark.table(table)
+
+
+def point_table(spark: SparkSession, table: str, path: str, buckets: int = 0) -> None:
+    """Make a catalogue table show the files under `path`, leaving earlier runs in place.
+
+    A table of buckets is made anew, since their number may change; only its entry goes, the files stay.
+    """
+    if buckets:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema)
+        dealt = f"CLUSTERED BY (NO_DAMA) SORTED BY (NO_DAMA) INTO {buckets} BUCKETS"
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet {dealt} LOCATION '{path}'")
+        return
     if not spark.catalog.tableExists(table):
         spark.catalog.createTable(table, path, "parquet")
         return
@@ -135,14 +180,16 @@ def publish_run(
     started: dt.datetime,
     clock: Callable[[], dt.datetime] = dt.datetime.now,
     table: str | None = None,
+    buckets: int | None = None,
 ) -> MasterResult:
     """Run `build` and write its results; the run log gets a row at the start and one at the end, also on failure.
 
     A failure row names the step that failed. The success row comes last of what can fail the run; a catalogue table
     that cannot be pointed at the master afterwards raises, and the run stays successful. Stage tables of the build go
-    after success.
+    after success. The master is dealt into `buckets` by account, as many as there are shuffle partitions by default.
     """
-    attempt, step = new_attempt(root, run_id), "inicio"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions")) if buckets is None else buckets
+    attempt, step = new_attempt(root, run_id, buckets), "inicio"
     append_log(log_row(spark, run_id, OPEN, started, attempt=attempt), root)
     try:
         step = "construir base maestra"
@@ -162,7 +209,7 @@ def publish_run(
         append_log(log_row(spark, run_id, FAILURE, started, clock(), message=message, attempt=attempt), root)
         raise
     if table:
-        point_table(spark, table, f"{attempt}/master")
+        point_table(spark, table, f"{attempt}/master", buckets)
     published = dataclasses.replace(result, base=spark.read.parquet(f"{attempt}/master"), audit=spark.read.parquet(f"{attempt}/audit"))
     counts = read_run_log(spark, root).filter(F.col("ID_EJECUCION") == run_id).select(*_COUNTS)
     remove_paths(spark, result.stages)
@@ -182,11 +229,35 @@ def write_csv(df: DataFrame, path: str) -> None:
     )
 
 
-def write_report(master: DataFrame, audit: DataFrame, run_log: DataFrame, path: str) -> None:
-    """Master, audit and run log as three folders of one report."""
-    write_csv(export_view(master), f"{path}/MASTER")
-    write_csv(audit, f"{path}/AUDITORIA_RECHAZOS")
-    write_csv(run_log, f"{path}/BITACORA")
+REPORT = ("MASTER", "AUDITORIA_RECHAZOS", "BITACORA")
+_POINTER_SCHEMA = "MOMENTO timestamp_ntz, CARPETA string"
+
+
+def write_report(
+    master: DataFrame, audit: DataFrame, run_log: DataFrame, path: str, clock: Callable[[], dt.datetime] = dt.datetime.now
+) -> None:
+    """Master, audit and run log as the three tables of one report.
+
+    All three go to a folder of their own; a pointer, written last, makes readers use it. If one of them fails, the report
+    that was there stays.
+    """
+    folder = f"{path}/reports/{uuid.uuid4().hex}"
+    for name, table in zip(REPORT, (export_view(master), audit, run_log)):
+        write_csv(table, f"{folder}/{name}")
+    pointer = master.sparkSession.createDataFrame([(clock(), folder)], _POINTER_SCHEMA)
+    pointer.coalesce(1).write.mode("append").parquet(f"{path}/current")
+
+
+def report_folder(spark: SparkSession, path: str) -> str:
+    """Where the newest whole report is."""
+    pointers = spark.read.schema(_POINTER_SCHEMA).parquet(f"{path}/current")
+    return pointers.agg(F.max(F.struct("MOMENTO", "CARPETA")).alias("r")).first().r.CARPETA
+
+
+def read_report(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """The three tables of the newest whole report, all of them text."""
+    folder = report_folder(spark, path)
+    return {name: spark.read.csv(f"{folder}/{name}", header=True, escape='"') for name in REPORT}
 
 
 def reference_year(portfolio: DataFrame, run_year: int) -> int:

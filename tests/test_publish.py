@@ -4,7 +4,8 @@ import pytest
 import sample
 from pyspark.sql import functions as F
 
-from arrears_mart.operators import indicators
+from arrears_mart import schemas
+from arrears_mart.operators import enrich, indicators
 from arrears_mart.plans.days_master import build_days_master
 from arrears_mart.plans.result import stopped
 from arrears_mart.sinks import publish as K
@@ -115,11 +116,40 @@ def test_exports(spark, sources, tmp_path):
     result = build_days_master(spark, sources, START)
     log = K.log_row(spark, 1, K.SUCCESS, START, end(), result.metrics)
     K.write_report(result.base, result.audit, log, str(tmp_path / "report"))
-    master = spark.read.csv(str(tmp_path / "report/MASTER"), header=True)
+    report = K.read_report(spark, str(tmp_path / "report"))
+    master = report["MASTER"]
     first = master.filter("NO_DAMA = '7101'").first()
     assert (first.FECHA_FACTURA, first.FECHA_PROMESA, first.SALDO_FINAL) == ("11/02/2026", "20/07/2026", "1750.00")
-    assert spark.read.csv(str(tmp_path / "report/AUDITORIA_RECHAZOS"), header=True).count() == 3
-    assert spark.read.csv(str(tmp_path / "report/BITACORA"), header=True).first().REG_CON_ERROR == "3"
+    assert report["AUDITORIA_RECHAZOS"].count() == 3
+    assert report["BITACORA"].first().REG_CON_ERROR == "3"
+    # A report whose last table cannot be written leaves the one before it in place.
+    broken = log.withColumn("MENSAJE", F.raise_error(F.lit("disk is full")).cast("string"))
+    with pytest.raises(Exception, match="disk is full"):
+        K.write_report(result.base.limit(1), result.audit.limit(1), broken, str(tmp_path / "report"))
+    assert {n: t.count() for n, t in K.read_report(spark, str(tmp_path / "report")).items()} == {"MASTER": 5, "AUDITORIA_RECHAZOS": 3, "BITACORA": 1}
+    K.write_report(result.base.limit(2), result.audit, log, str(tmp_path / "report"))
+    assert K.read_report(spark, str(tmp_path / "report"))["MASTER"].count() == 2
+
+
+def test_a_master_in_buckets_is_not_exchanged(spark, sources, tmp_path):
+    root = str(tmp_path)
+    K.publish_run(spark, lambda: build_days_master(spark, sources, START), root, 1, START, end, buckets=4)
+    assert sorted(map(str, K.master_by_account(spark, root).collect())) == sorted(map(str, K.read_master(spark, root).collect()))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        contacts = sources[schemas.CONTACTS].coalesce(1)
+        joined = enrich.master_with_contacts(K.master_by_account(spark, root), contacts)
+        wanted = enrich.master_with_contacts(K.read_master(spark, root), contacts)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        # The contacts are exchanged for the join, the buckets of the master are read as they are.
+        assert plan.count("Exchange hashpartitioning") == wanted._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") - 1
+        assert "Bucketed: true" in plan and "SelectedBucketsCount: 4 out of 4" in plan
+        assert sorted(map(tuple, joined.collect()), key=str) == sorted(map(tuple, wanted.collect()), key=str)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    K.publish_run(spark, lambda: build_days_master(spark, sources, START), root, 2, START, end, buckets=0)
+    assert K.master_by_account(spark, root).count() == 5
 
 
 def test_csv_keeps_spaces_and_accents(spark, tmp_path):
