@@ -11,9 +11,9 @@ from dataclasses import dataclass
 
 import numpy as np
 
-HIDDEN = 12
+HIDDEN = 8
 STRETCH, CONTEXT = 224, 16
-_ROWS = 1024  # stretches that are read together
+_ROWS = 2048  # stretches that are read together
 _LEARN, _BATCH = 64, 128  # bytes of a training piece that are labelled, and pieces in a step
 _PAD = 0
 #: Bytes that can belong to a letter: a-z, A-Z and all that is not ASCII. Others are labelled, but not counted.
