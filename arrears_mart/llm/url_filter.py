@@ -20,7 +20,7 @@ RULES = (
     ("allow", "com", "/fr/"),
     ("block", "com", "/de/"),
 )
-FEATURES = ("length", "depth", "digits", "entropy", "parameters", "labels", "hyphens", "secure", "top", "site")
+FEATURES = ("length", "depth", "digits", "entropy", "parameters", "labels", "hyphens", "secure", "top", "site", "section")
 
 
 def host(url: Column) -> Column:
@@ -83,6 +83,7 @@ def lexical(urls: DataFrame) -> DataFrame:
             "secure": url.startswith("https:").cast("int"),
             "_top": _suffix(F.col("host"), 1),
             "_site": _suffix(F.col("host"), 3),
+            "_section": F.regexp_extract(F.col("path"), "^/([^/]*)/", 1),
         }
     )
 
@@ -94,35 +95,56 @@ def suffix_statistics(labelled: DataFrame, suffix: str, name: str) -> DataFrame:
     return stage_table(found, f"url-{name}")
 
 
+def best_threshold(counts: Sequence[tuple[int, int, int]]) -> float:
+    """The score from which on blocking judges most set-aside URLs right; of equal ones the highest. `counts` has (score in
+    hundredths, blocked, number). One half if they are all of one kind, or if blocking none of them is best."""
+    best, threshold, worth = 0, 0.5, 0
+    if not 0 < sum(c[1] for c in counts) < sum(c[2] for c in counts):
+        return threshold
+    for step in sorted({c[0] for c in counts}, reverse=True):
+        worth += sum(2 * c[1] - c[2] for c in counts if c[0] == step)
+        if worth > best:
+            best, threshold = worth, step / 100
+    return threshold
+
+
 def judge_urls(
     pages: DataFrame,
     labelled: DataFrame | None = None,
     rules: Sequence[tuple[str, str, str]] = RULES,
-    threshold: float = 0.8,
+    threshold: float | None = None,
     url_col: str = "url",
     id_col: str = "page_id",
 ) -> DataFrame:
     """Per row of `pages`: page_id, host, path, rule, score (probability of block) and verdict.
 
-    A URL without a rule is blocked only from a score of `threshold` on, so that unclear ones stay.
-    `labelled` has url and blocked (0/1); without it, the URLs that a rule judges are the labelled ones. All of them
-    train. Null URLs and such without `://` have empty host and path, fit no rule and are judged by the trees. Rows with
-    a null label do not train; repeated rows are judged alike. Other columns are not read; an empty table gives an empty
-    result.
+    `labelled` has url and blocked (0/1); without it, the URLs that a rule judges are the labelled ones. Four fifths of
+    them, by a hash of the URL, give the statistics of host suffixes and first path segments and train; the last fifth sets the score from which on a URL
+    without a rule is blocked (`best_threshold`), unless `threshold` states it. A suffix or segment without a labelled
+    URL has the share of all labelled ones. Null URLs and such without `://` have empty host and path, fit no rule and are judged by the
+    trees. Rows with a null label do not train; repeated rows are judged alike. Long URLs are read whole. Other columns are
+    not read, whatever their names; an empty table gives an empty result, and without labels every URL gets one half.
     """
     rows = lexical(pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url")))
-    rows = rows.withColumn("_rule", rule_of(F.col("host"), F.col("path"), rules)).drop("url")
-    rows = stage_table(rows, "url-rows")
+    rows = rows.withColumn("_rule", rule_of(F.col("host"), F.col("path"), rules))
+    aside = F.pmod(F.xxhash64("url"), F.lit(5)) == 0
+    rows = stage_table(rows.withColumn("_aside", aside).drop("url"), "url-rows")
     if labelled is None:
         known = rows.where(F.col("_rule").isNotNull()).withColumn("blocked", (F.col("_rule.verdict") == "block").cast("int"))
     else:
         known = lexical(labelled.where(F.col("blocked").isNotNull()).select("url", F.col("blocked").cast("int").alias("blocked")))
-        known = stage_table(known, "url-labelled")
-    for suffix, name in (("_top", "top"), ("_site", "site")):
-        found = broadcast_if_small(suffix_statistics(known, suffix, name))
-        rows, known = rows.join(found, suffix, "left"), known.join(found, suffix, "left")
-    model = boosting.fit(known, FEATURES, "blocked")
+        known = stage_table(known.withColumn("_aside", aside), "url-labelled")
+    share = known.where(~F.col("_aside")).agg(F.floor(20 * (F.sum("blocked") + 1) / (F.count(F.lit(1)) + 2))).first()[0]
+    usual = F.lit(10 if share is None else share)
+    for suffix, name in (("_top", "top"), ("_site", "site"), ("_section", "section")):
+        found = broadcast_if_small(suffix_statistics(known.where(~F.col("_aside")), suffix, name))
+        rows, known = (df.join(found, suffix, "left").withColumn(name, F.coalesce(name, usual)) for df in (rows, known))
+    model = boosting.fit(known.where(~F.col("_aside")), FEATURES, "blocked")
     score = model.probability(lambda f: F.coalesce(F.col(f).cast("int"), F.lit(-1)))
+    if threshold is None:
+        step = F.floor(score * 100).cast("int").alias("step")
+        counts = known.where("_aside").groupBy(step).agg(F.sum("blocked").alias("blocked"), F.count(F.lit(1)).alias("n"))
+        threshold = best_threshold([tuple(r) for r in counts.collect()])  # at most 101 rows
     judged = rows.withColumn("score", score)
     verdict = F.coalesce(F.col("_rule.verdict"), F.when(F.col("score") >= threshold, "block").otherwise("allow"))
     return judged.select("page_id", "host", "path", F.col("_rule.name").alias("rule"), "score", verdict.alias("verdict"))
