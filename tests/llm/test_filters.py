@@ -283,7 +283,7 @@ def test_trees_add_spans_that_look_like_confirmed_ones(spark):
         return f"{plus}1 ({rng.integers(100, 999)}) 555-{rng.integers(1000, 9999)}"
 
     texts = [f"number {i} is not one but phone {phone('+')} ok" for i in range(200)] + [f"order {rng.integers(10**7, 10**8)} of 2020" for _ in range(200)]
-    found = pii.detect(docs(spark, *texts, "write to me: jo@mail, thanks", "mail an@b.cc"), precision=0.9)
+    found = pii.detect(docs(spark, *texts, "write to me: jo@mail, thanks", "mail an@b.cc"), precision=0.9, with_text=True)
     rows = {r.doc_id: r for r in found.collect()}
     assert all(r.base == r.spans or len(r.spans) > len(r.base) for r in rows.values())
     assert all(not rows[i].spans for i in range(200, 400))
@@ -308,13 +308,28 @@ def test_spans_in_other_forms_are_found(spark):
     confirmed_ones = [f"on {t} she" for _ in range(100) for t in ("+" + phone(), mail("@", "."), card("-"))]
     # Three times as many as the base rules confirm.
     planted = [(k, t) for _ in range(300) for k, t in (("phone", phone()), ("email", mail(" at ", " dot ")), ("card", card(".")))]
-    others = [t for _ in range(300) for t in (wrong(card("")), wrong(card(".")), f"{number(8)}", f"{number(4)} - {number(4)}")]
-    texts = [*confirmed_ones, *[f"on {t} she" for _, t in planted], *[f"on {t} she" for t in others]]
+    others = [t for _ in range(300) for t in (f"{number(8)}", f"{number(4)} - {number(4)}", word(30), f"{number(30)}")]
+    typos = [wrong(card("-")) for _ in range(300)]
+    texts = [*confirmed_ones, *[f"on {t} she" for _, t in planted], *[f"on {t} she" for t in others], *[f"on {t} she" for t in typos]]
     found = {r.doc_id: r.spans for r in pii.digest(pii.detect(docs(spark, *texts))).collect()}
     at = len(confirmed_ones)
     hit = {k: [found[at + i] == f"{k}:3:{3 + len(t)}" for i, (kind, t) in enumerate(planted) if kind == k] for k in ("phone", "email", "card")}
     assert all(np.mean(h) > 0.95 for h in hit.values()), {k: np.mean(h) for k, h in hit.items()}
     assert not any(found[at + len(planted) + i] for i in range(len(others)))
+    at += len(planted) + len(others)
+    assert np.mean([found[at + i] == "card:3:22" for i in range(len(typos))]) > 0.95
+
+
+def test_secrets_are_found_by_their_shape(spark):
+    rng = np.random.default_rng(8)
+    secret = lambda: "".join(rng.choice(list("0123456789abcdef"), 40))
+    told = [f'so token = "{secret()}" it' for _ in range(150)]
+    bare = [f"the {secret()} of" for _ in range(50)]
+    clean = [f"a {'abcdefghij' * 3} of {i}" for i in range(50)]
+    found = {r.doc_id: r for r in pii.digest(pii.detect(docs(spark, *told, *bare, *clean))).collect()}
+    assert all(found[i].secrets == "secret:12:52" and found[i].n_secret == 1 and not found[i].spans for i in range(150))
+    assert np.mean([found[150 + i].secrets == "secret:4:44" for i in range(50)]) > 0.9
+    assert not any(found[200 + i].secrets for i in range(50))
 
 
 @pytest.mark.parametrize("name", ["op2_toxicity", "op3_weak_labels", "op4_line_rules", "op7_url_filter", "op10_pii"])
