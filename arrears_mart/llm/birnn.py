@@ -15,6 +15,8 @@ from dataclasses import dataclass, field
 import numpy as np
 
 WINDOW, STRIDE = 24, 12
+#: Every STRIDE-th window is scored first; around one with a logit above NEAR all overlapping windows are.
+NEAR = -2.0
 HIDDEN, WORD_DIM, CHAR_DIM = 8, 8, 12
 WORD_BUCKETS, CHAR_BUCKETS, GRAM_BUCKETS = 1 << 13, 1 << 14, 1 << 18  # each a multiple of the one before
 _GRAMS = (3, 4, 5)
@@ -71,12 +73,24 @@ def split(text: str | None) -> list[str]:
     return (text or "").lower().split()
 
 
-def windows(ids: np.ndarray) -> np.ndarray:
+def all_windows(ids: np.ndarray) -> np.ndarray:
     """All overlapping windows of a text's words, padded at the end; one empty window for a text without words."""
     count = max(1, -(-(len(ids) - WINDOW) // STRIDE) + 1)
     padded = np.full((count - 1) * STRIDE + WINDOW, _PAD, np.int64)
     padded[: len(ids)] = ids
-    return np.lib.stride_tricks.sliding_window_view(padded, WINDOW)[::STRIDE]
+    return np.lib.stride_tricks.sliding_window_view(padded, WINDOW)
+
+
+def windows(ids: np.ndarray) -> np.ndarray:
+    """Every STRIDE-th window of a text, with which training does."""
+    return all_windows(ids)[::STRIDE]
+
+
+def _between(logits: np.ndarray, count: int) -> np.ndarray:
+    """The starts of the windows around every STRIDE-th one with a logit above NEAR, of `count` windows in all."""
+    hit = np.flatnonzero(logits > NEAR) * STRIDE
+    starts = np.unique(hit[:, None] + np.arange(1 - STRIDE, STRIDE)[None, :])
+    return starts[(starts % STRIDE != 0) & (starts >= 0) & (starts < count)]
 
 
 def _sigmoid(x):
@@ -184,6 +198,19 @@ class Network:
             out.append(c @ self.p["out"] + self.p["bias"])
         return np.concatenate(out)
 
+    def greatest(self, texts: Sequence[np.ndarray], projected: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+        """The greatest logit of each text, given as places in the projected inputs."""
+        full = list(map(all_windows, texts))
+        first = np.cumsum([0, *(-(-len(f) // STRIDE) for f in full)])
+        coarse = self.logits(np.concatenate([f[::STRIDE] for f in full]), projected)
+        top = np.maximum.reduceat(coarse, first[:-1])
+        finer = [(i, _between(coarse[first[i] : first[i + 1]], len(full[i]))) for i in np.flatnonzero(top > NEAR).tolist()]
+        finer = [(i, starts) for i, starts in finer if len(starts)]
+        if finer:
+            more = self.logits(np.concatenate([full[i][starts] for i, starts in finer]), projected)
+            np.maximum.at(top, np.repeat([i for i, _ in finer], [len(s) for _, s in finer]), more)
+        return top
+
     def step(self, rows: np.ndarray, target: np.ndarray, words: Words) -> dict[str, np.ndarray]:
         """Gradients of the mean logistic loss over these windows of word numbers."""
         numbers, places = np.unique(np.concatenate([[_PAD], rows.ravel()]), return_inverse=True)
@@ -237,8 +264,7 @@ class Network:
                     known[:] = [np.concatenate([x, np.zeros_like(x)]) for x in known]
                 for x, more in zip(known, self.project(self.embed(*word_hashes(new)))):
                     x[at : at + len(new)] = more
-            cut = [windows(np.fromiter(map(number.__getitem__, p), np.int64, len(p))) for p in parts]
-            return np.maximum.reduceat(self.logits(np.concatenate(cut), known), np.cumsum([0, *map(len, cut[:-1])]))
+            return self.greatest([np.fromiter(map(number.__getitem__, p), np.int64, len(p)) for p in parts], known)
 
         def score(texts: Sequence[str | None], group: int = 256) -> np.ndarray:
             parts = [greatest(texts[i : i + group]) for i in range(0, len(texts), group)]
@@ -298,7 +324,6 @@ def train(
     words = Words(texts)
     cut = list(map(windows, words.ids))
     owner = np.repeat(np.arange(len(cut)), list(map(len, cut)))
-    first = np.cumsum([0, *map(len, cut[:-1])])
     rows, learn = np.concatenate(cut).astype(np.int32), ~aside[owner]
     doubt = np.zeros(len(rows))
     doubt[learn] = _suspicion([c for c, x in zip(cut, aside) if not x], label[~aside], words)
@@ -329,7 +354,7 @@ def train(
                 v[k] += 0.01 * (g * g - v[k])
                 net.p[k] -= (rate * (m[k] / (1 - 0.9**done)) / (np.sqrt(v[k] / (1 - 0.99**done)) + 1e-6)).astype(np.float32)
     judged = aside if len(np.unique(label[aside])) == 2 else ~aside
-    top = np.maximum.reduceat(window_logits(), first).astype(np.float64)[judged]
+    top = net.greatest([words.ids[i] for i in np.flatnonzero(judged)], net.projected(words)).astype(np.float64)
     net.slope, net.offset = _calibrated(top, label[judged])
     return net
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import string
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +36,21 @@ def row_key(text: Column) -> Column:
     return F.xxhash64(text, text.isNull())
 
 
+def named(column: str) -> Column:
+    """A column by its name, whatever signs the name holds."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one struct, which an operator carries beside its own columns, so that no name can clash."""
+    return F.struct(*[named(c) for c in df.columns])
+
+
+def fields(row: str, names: Sequence[str]) -> list[Column]:
+    """Columns of a carried row."""
+    return [F.col(row)[c].alias(c) for c in names]
+
+
 def broadcast_if_small(table: DataFrame) -> DataFrame:
     """The stored table, marked for broadcast if its measured content allows it."""
     return F.broadcast(table) if measured_bytes(table) <= BROADCAST_BYTES else table

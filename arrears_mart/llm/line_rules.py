@@ -81,10 +81,12 @@ def plain_rules(docs: DataFrame, text: Column) -> DataFrame:
 
 
 def frequent_lines(docs: DataFrame, limits: Limits) -> DataFrame:
-    """Stored (host, none, line) of the lines above the limits; `docs` has host, none and text."""
-    hosts = docs.groupBy("host", "none").agg(F.count(F.lit(1)).alias("documents"))
+    """Stored (host, none, line) of the lines above the limits, counted by different documents; `docs` is `_hosted`."""
+    # Rows of one id are one document; those without an id are told apart by their text.
+    document = ["doc_id", F.when(F.col("doc_id").isNull(), F.col("key")).alias("lone")]
+    hosts = docs.select("host", "none", *document).distinct().groupBy("host", "none").agg(F.count(F.lit(1)).alias("documents"))
     in_text = F.array_distinct(F.transform(_lines(ascii_lower(F.col("text"))), _line_hash))
-    lines = docs.select("host", "none", F.explode(in_text).alias("line"))
+    lines = docs.select("host", "none", *document, F.explode(in_text).alias("line")).distinct()
     counted = lines.groupBy("host", "none", "line").agg(F.count(F.lit(1)).alias("found"))
     counted = counted.where(F.col("found") > limits.documents)
     above = counted.join(broadcast_if_small(stage_table(hosts, "lines-hosts")), ["host", "none"])
@@ -108,8 +110,9 @@ def judge_documents(
 ) -> DataFrame:
     """Per row of `docs`: doc_id, the plain rules' columns, n_removed (words in removed lines) and kept.
 
-    Null texts have no words and fail. A null host is a host of its own. Each row counts as a document, repeated ones
-    too, and gives a result row. Other columns are not read; an empty table gives an empty result.
+    Null texts have no words and fail. A null host is a host of its own. Rows of one id are one document for the line
+    frequencies, rows without an id are one for each different text; every row gives a result row. Long texts are read
+    whole. Other columns are not read, whatever their names; an empty table gives an empty result.
     """
     rows = _hosted(docs, id_col, text_col, host_col)
     frequent = frequent_lines(rows, limits)
@@ -133,7 +136,8 @@ def judge_documents(
 def cleaned_texts(
     docs: DataFrame, limits: Limits = Limits(), id_col: str = "doc_id", text_col: str = "text", host_col: str = "source"
 ) -> DataFrame:
-    """(doc_id, text) without the frequent lines, one row for each different (id, text, host); blank lines stay."""
+    """(doc_id, text) without the frequent lines, one row for each different (id, text, host); blank lines stay. A null text
+    becomes an empty one. Other columns are not read, whatever their names; an empty table gives an empty result."""
     rows = _hosted(docs, id_col, text_col, host_col)
     frequent = frequent_lines(rows, limits).withColumn("_frequent", F.lit(True))
     row = ["doc_id", "host", "none", "key"]

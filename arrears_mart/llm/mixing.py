@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from arrears_mart.llm.columns import words
+from arrears_mart.llm.columns import fields, whole_row, words
 from arrears_mart.stages import stage_table
 
 #: Documents of a source are dealt to so many bins by a seeded hash; neighbouring bins make up a shard.
@@ -46,16 +46,19 @@ def targets(totals: DataFrame, weights: Sequence[int]) -> DataFrame:
 def apportion(units: DataFrame, group: Sequence[str], unit: Sequence[str], size: str, seats: str) -> DataFrame:
     """`units` with `quota`: the seats of each group dealt to its units by highest quotients size / (2 * quota + 1).
 
-    All quotients above a level that surely leaves at most as many seats as there are units are counted at once; only
-    those seats are dealt by ranking quotients, so the work does not depend on the number of seats. Ties go to the
-    unit that comes first.
+    All quotients above a level that surely leaves at most as many seats as there are n units are counted at once. Another
+    level surely gives out all seats, so only quotients between the two, at most n and one a unit, are ranked: the work
+    depends neither on the number of seats nor on the square of n. Ties go to the unit that comes first. Without a group
+    the units are ranked in one task, as narrow rows.
     """
     whole = Window.partitionBy(*group)
     n, total = F.count(F.lit(1)).over(whole), F.sum(size).over(whole).cast("double")
     level = F.when((2 * F.col(seats) > n) & (total > 0), (2 * F.col(seats) - n) / total).otherwise(F.lit(0.0))
-    base = units.withColumn("_base", F.floor((F.col(size) * level + 1) / 2).cast("long")).withColumn("_n", n)
+    top = F.when(total > 0, (2 * F.col(seats) + n) / total).otherwise(F.lit(0.0))
+    at = lambda x: F.floor((F.col(size) * x + 1) / 2).cast("long")
+    base = units.withColumns({"_base": at(level), "_most": at(top) - at(level) + 1})  # one more for rounded doubles
     base = base.withColumn("_open", F.col(seats) - F.sum("_base").over(whole))
-    rounds = F.explode(F.sequence(F.lit(0), F.col("_n"))).alias("_more")
+    rounds = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_most"))).alias("_more")
     quotient = F.col(size) / (2 * (F.col("_base") + F.col("_more")) + 1)
     asked = base.select("*", rounds).where(F.col(size) > 0)
     asked = asked.withColumn("_place", F.row_number().over(whole.orderBy(F.desc(quotient), *unit, "_more")))
@@ -63,12 +66,13 @@ def apportion(units: DataFrame, group: Sequence[str], unit: Sequence[str], size:
     return (
         base.join(won, [*group, *unit], "left")
         .withColumn("quota", F.col("_base") + F.coalesce("_won", F.lit(0)))
-        .drop("_base", "_n", "_open", "_won")
+        .drop("_base", "_most", "_open", "_won")
     )
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), seed: str = "mix", block: int = BLOCK) -> DataFrame:
-    """`docs`, which has doc_id, source and size, with source_size, target and taken (columns so named are replaced).
+    """`docs`, which has doc_id, source and size, with source_size, target and taken (columns so named are replaced, all
+    others kept).
 
     Blocks of equal numbers of tokens are dealt to sources by Sainte-Lague, then each source's blocks to its shards by
     the shards' sizes. Within a shard the documents stand in a seeded order; the quota takes the whole sequence as often
@@ -77,6 +81,8 @@ def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), seed: str = "mix",
     ordered as empty ones, null sizes count 0, and documents of size 0 have nothing taken. Empty tables give an empty
     result. `docs` is read twice: store it first if its columns are costly.
     """
+    names = [c for c in docs.columns if c not in ("size", "source_size", "target", "taken")]
+    docs = docs.select("doc_id", "source", "size", whole_row(docs).alias("_row"))
     code = F.md5(F.concat_ws("|", F.lit(seed), F.col("doc_id").cast("string")).cast("binary"))
     keyed = docs.withColumns(
         {
@@ -114,13 +120,13 @@ def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), seed: str = "mix",
     plan = bins.withColumn("bin_start", F.coalesce(F.sum("held").over(in_shard), F.lit(0))).withColumn("shard", shard)
     plan = stage_table(plan.join(dealt, ["src", "none", "shard"]).drop("shard", "held"), "mix-plan")
     in_bin = Window.partitionBy(*key).orderBy("_code", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    placed = keyed.drop("source_size", "target", "taken").withColumn("_before", F.coalesce(F.sum("size").over(in_bin), F.lit(0)))
+    placed = keyed.withColumn("_before", F.coalesce(F.sum("size").over(in_bin), F.lit(0)))
     on = [placed["_src"] == plan["src"], placed["_none"] == plan["none"], placed["_bin"] == plan["bin"]]
-    kept = [c for c in placed.columns if not c.startswith("_")]
     start = F.col("bin_start") + F.col("_before")
     part = F.greatest(F.least(F.col("rest") - start, F.col("size")), F.lit(0))
     return placed.join(plan, on).select(
-        *[placed[c] for c in kept],
+        *fields("_row", names),
+        placed["size"],
         plan["source_size"],
         plan["target"],
         (F.col("passes") * F.col("size") + part).cast("long").alias("taken"),
@@ -128,9 +134,15 @@ def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), seed: str = "mix",
 
 
 def mixed_documents(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), seed: str = "mix") -> DataFrame:
-    """The mixed corpus with the columns of `docs`: each document as often as its taken words, rounded, fill it."""
-    taken = mix(docs.withColumn("size", token_size(F.col("text"))), weights, seed)
+    """The mixed corpus with the columns of `docs`, whatever their names: each document as often as its taken words,
+    rounded, fill it.
+
+    The quota of a shard ends inside one document at most, so whole copies miss a source's target by at most half a
+    document in each of its SHARDS shards. Documents without words, null texts among them, are left out. Null ids and
+    sources, ties, repeated rows and long texts are treated as in `mix`; an empty table gives an empty result.
+    """
+    sized = docs.select("doc_id", "source", token_size(F.col("text")).alias("size"), whole_row(docs).alias("row"))
+    taken = mix(sized, weights, seed)
     times = F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(0).cast("int")
-    return taken.withColumn("_times", times).where("_times > 0").select(
-        *docs.columns, F.explode(F.sequence(F.lit(1), "_times")).alias("_copy")
-    ).drop("_copy")
+    copies = taken.select("row", times.alias("times")).where("times > 0")
+    return copies.select("row", F.explode(F.sequence(F.lit(1), "times"))).select(*fields("row", docs.columns))

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from arrears_mart.llm.columns import ascii_lower, broadcast_if_small, row_key
+from arrears_mart.llm.columns import ascii_lower, broadcast_if_small, fields, row_key, whole_row
 from arrears_mart.stages import stage_table
 
 #: Fixed by the contract: runs of digits, lower-case letters and everything beyond ASCII, after A-Z are lower-cased.
@@ -169,10 +169,14 @@ def decontaminate(
 
 
 def without_contaminated(docs: DataFrame, tests: DataFrame, **options) -> DataFrame:
-    """The rows of `docs` that hold no run of test words, with their columns as they are."""
+    """The rows of `docs` that hold no run of test words, with their columns as they are, whatever their names.
+
+    Null, empty and wordless texts hold none and stay; repeated rows stay or go together. Long texts are read whole, an
+    empty table gives an empty result, and without items every row stays.
+    """
     id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
     bad = decontaminate(docs, tests, **options).where("contaminated").select("doc_id", "key").distinct()
     bad = stage_table(bad, "phrase-contaminated")
-    marked = docs.withColumn("_row_key", row_key(F.col(text_col)))
-    same = marked[id_col].eqNullSafe(bad["doc_id"]) & (marked["_row_key"] == bad["key"])
-    return marked.join(bad, same, "left_anti").drop("_row_key")
+    marked = docs.select(F.col(id_col).alias("id"), row_key(F.col(text_col)).alias("text_key"), whole_row(docs).alias("row"))
+    same = marked.id.eqNullSafe(bad["doc_id"]) & (marked.text_key == bad["key"])
+    return marked.join(bad, same, "left_anti").select(*fields("row", docs.columns))

@@ -169,7 +169,7 @@ with docs as (
       '[\x20\x09-\x0D]+', ' ', 'g')) t, len([y for y in regexp_split_to_array(x, '[\x20\x09-\x0D]+') if y <> '']) held
   from (select doc_id, host, none, unnest(l) x from docs)
 ), frequent as (
-  select host, none, t from line join (select host, none, count(*) documents from docs group by 1, 2) using (host, none)
+  select host, none, t from line join (select host, none, count(distinct doc_id) documents from docs group by 1, 2) using (host, none)
   group by host, none, t, documents having count(distinct doc_id) > 10 and count(distinct doc_id) > 0.001 * documents
 ), removed as (
   select doc_id, sum(held) r from line join frequent using (host, none, t) group by 1

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arrears_mart.llm.columns import byte_length
+from arrears_mart.llm.columns import byte_length, fields, whole_row
 from arrears_mart.stages import stage_table
 
 _DIGIT, _LEAST_DIGIT = 12, 4  # a round probes 2^12 boundaries in all, but 2^4 in each interval at least
@@ -114,7 +114,7 @@ def shard_documents(
     tolerance: float = 0.005,
     part_bytes: int = 256 << 20,
 ) -> DataFrame:
-    """`docs` with size, text_crc32, law, shard, slot and grown_shard (columns so named are replaced).
+    """`docs` with size, text_crc32, law, shard, slot and grown_shard (columns so named are replaced, all others kept).
 
     The law is `bytes`: a shard's bytes differ from the mean by at most `tolerance` of it for each of its two ends, or
     by what one row holds. The key is a hash of the text, then one of the id: equal texts stand together and part only
@@ -150,13 +150,13 @@ def shard_documents(
                 found[i] = x
     starts = [0, *(s.rows_below for s in found)]
     first_slot = F.array(*[F.lit(starts[p] - starts[p - p % parts]).cast("long") for p in range(shards * parts)])
-    names = [c for c in docs.columns if c not in ("size", "text_crc32", "law", "shard", "slot", "grown_shard", "_k1", "_k2", "_part")]
-    placed = docs.select(*names, *[c.alias(n) for n, c in keys.items()]).withColumn("_part", _parts_below(found))
+    names = [c for c in docs.columns if c not in ("size", "text_crc32", "law", "shard", "slot", "grown_shard")]
+    placed = docs.select(whole_row(docs).alias("_row"), *[c.alias(n) for n, c in keys.items()]).withColumn("_part", _parts_below(found))
     placed = placed.repartitionById(shards * parts, "_part").sortWithinPartitions("_k1", "_k2")
     # The number within its task is the lower half of this id.
     within = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     return placed.select(
-        *names,
+        *fields("_row", names),
         "size",
         "text_crc32",
         F.lit("bytes").alias("law"),

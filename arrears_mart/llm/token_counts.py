@@ -2,8 +2,8 @@
 
 A pre-token is a run of spaces with the characters up to the next space. No piece of the vocabulary goes on from
 another character into a space, so the pieces of a text are those of its pre-tokens, one after another. No token ids
-are kept. The commonest pre-tokens, whose number and length are bounded, reach every task by broadcast; all others are
-joined by shuffling, where no single one can be hot.
+are kept. The commonest pre-tokens, whose number is bounded, reach every task by broadcast; all others are joined by
+shuffling, where no single one can be hot. Long pre-tokens are known by a digest, so that a long one may be common.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from arrears_mart.llm.columns import row_key
 from arrears_mart.stages import stage_table
 
-#: At most so many pre-tokens of at most so many bytes are broadcast.
+#: At most so many pre-tokens are broadcast; those of more bytes stand as a SHA-256 digest, which no shorter one equals.
 COMMON, COMMON_BYTES = 1 << 18, 48
 _SPACE_MARK = "▁"  # the vocabulary writes spaces with this sign, which a text may hold as well
 
@@ -45,17 +45,23 @@ def piece_counter(model: bytes) -> Column:
     return count
 
 
+def _known_by(token: Column) -> Column:
+    """What stands for a pre-token in joins: itself, or the digest of a long one."""
+    return F.when(F.octet_length(token) <= COMMON_BYTES, token).otherwise(F.sha2(token, 256)).alias("token")
+
+
 def vocabulary(texts: DataFrame, model: bytes) -> DataFrame:
-    """Stored (token, uses, pieces) of all distinct pre-tokens of the column `text`."""
+    """Stored (token, uses, pieces) of all distinct pre-tokens of the column `text`, by what they are known by."""
     used = texts.select(F.explode(pre_tokens(F.col("text"))).alias("token")).groupBy("token")
     counted = used.agg(F.count(F.lit(1)).alias("uses"))
-    return stage_table(counted.withColumn("pieces", piece_counter(model)(F.col("token"))), "tokens-vocabulary")
+    pieces = counted.withColumn("pieces", piece_counter(model)(F.col("token")))
+    return stage_table(pieces.select(_known_by(F.col("token")), "uses", "pieces"), "tokens-vocabulary")
 
 
 def _least_common_uses(words: DataFrame, most: int) -> int:
-    """The least power of two of uses that at most `most` short pre-tokens reach."""
+    """The least power of two of uses that at most `most` pre-tokens reach."""
     power = F.floor(F.log2("uses")).cast("int")
-    steps = words.where(F.octet_length("token") <= COMMON_BYTES).groupBy(power.alias("p")).count().collect()
+    steps = words.groupBy(power.alias("p")).count().collect()
     kept, least = 0, 64
     for row in sorted(steps, reverse=True):
         kept += row["count"]
@@ -79,10 +85,10 @@ def count_tokens(
         F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     ).withColumn("key", row_key(F.col("text")))
     words = vocabulary(texts, model)
-    often = (F.col("uses") >= _least_common_uses(words, common)) & (F.octet_length("token") <= COMMON_BYTES)
+    often = F.col("uses") >= _least_common_uses(words, common)
     top = F.broadcast(stage_table(words.where(often).select("token", "pieces"), "tokens-common"))
     row = ["doc_id", "key"]
-    single = texts.select(*row, F.explode(pre_tokens(F.col("text"))).alias("token"))
+    single = texts.select(*row, F.explode(pre_tokens(F.col("text"))).alias("token")).select(*row, _known_by(F.col("token")))
     common_sums = single.join(top, "token").groupBy(*row).agg(F.sum("pieces").alias("n"))
     # Frequencies of the others per document: dealt by pre-token once, for the counting and the join.
     others = single.join(top, "token", "left_anti").repartition("token").groupBy("token", *row).agg(F.count(F.lit(1)).alias("times"))

@@ -19,8 +19,6 @@ from arrears_mart.llm.columns import words
 from arrears_mart.stages import stage_table
 
 BUCKETS = 1 << 16
-#: Longer texts vote and are scored, but do not train: the sample must fit the driver.
-LONGEST = 50_000
 #: A heuristic accuses at most this share of good texts; it keeps a common fault from passing for a trait of good texts.
 RARELY = 0.02
 _TINY = 1e-6
@@ -165,8 +163,8 @@ def train(texts: Sequence[str | None], labels: Sequence[float], epochs: int = 6,
 
 
 def _sample(voted: DataFrame, docs: DataFrame, most: int) -> DataFrame:
-    """Text and votes of at most `most` different texts of at most LONGEST characters, least by hash, half of them with a
-    vote for bad."""
+    """Text and votes of at most `most` different texts that are `able` to train, least by hash, half of them with a vote for
+    bad."""
     names = [c for c in voted.columns if c.startswith("v_")]
     bad = F.least(*[F.abs(F.col(c)) for c in names]) == 0
     able = voted.where("able").select("hash", *names).distinct()
@@ -180,14 +178,15 @@ def _text_hash() -> Column:
     return F.xxhash64("text", F.lit(11))
 
 
-def fit(docs: DataFrame, most: int = 4000) -> tuple[LabelModel, Scorer]:
-    """The label model from the votes on all texts, and a scorer trained on at most `most` of them.
+def fit(docs: DataFrame, most: int = 4000, longest: int = 50_000) -> tuple[LabelModel, Scorer]:
+    """The label model from the votes on all texts, and a scorer trained on at most `most` of them, each of at most
+    `longest` characters, so that the sample fits the driver; longer ones vote and are scored like any other.
 
     Votes are made once and stored with a hash of the text. Only the numbers of texts per vote pattern come to the
     driver, at most 3 to the number of heuristics rows, and the sample.
     """
     named = {f"v_{k}": c.cast("int") for k, c in votes(F.col("text")).items()}
-    able = F.coalesce(F.length("text"), F.lit(0)) <= LONGEST
+    able = F.coalesce(F.length("text"), F.lit(0)) <= longest
     voted = docs.select(_text_hash().alias("hash"), able.alias("able"), *[c.alias(k) for k, c in named.items()])
     voted = stage_table(voted, "quality-votes")
     patterns = sorted(voted.groupBy(*named).agg(F.count(F.lit(1)).alias("n")).collect(), key=tuple)
@@ -209,12 +208,12 @@ def quality_score(docs: DataFrame, scorer: Scorer, text: Column) -> Column:
     return each(text)
 
 
-def score_quality(docs: DataFrame, most: int = 4000, threshold: float = 0.5) -> DataFrame:
+def score_quality(docs: DataFrame, most: int = 4000, threshold: float = 0.5, longest: int = 50_000) -> DataFrame:
     """`docs` (with text) and score, the chance that the whole text is good, and kept (columns so named are replaced).
 
     Null texts are empty ones. Every text votes and is scored, repeated rows too; an empty table gives an empty result.
     No label table is used.
     """
-    _, scorer = fit(docs, most)
+    _, scorer = fit(docs, most, longest)
     scored = docs.withColumn("score", quality_score(docs, scorer, F.col("text")))
     return scored.withColumn("kept", F.col("score") >= threshold)

@@ -227,6 +227,35 @@ def test_urls_without_labels_and_long_ones(spark):
     assert sorted((r.page_id or 0, len(r.path), r.score, r.verdict) for r in found) == [(0, 0, 0.5, "block"), (1, 2, 0.5, "block"), (2, 100_001, 0.5, "block"), (2, 100_001, 0.5, "block")]
 
 
+def test_scores_do_not_depend_on_where_a_passage_begins():
+    """The words of toxic texts, at every alignment to the windows, in the middle of a clean text."""
+    rng = np.random.default_rng(12)
+    word = lambda: "".join(rng.choice(list("abcdefgh"), 6))
+    vocabulary = [word() for _ in range(300)]
+    clean = lambda n: list(rng.choice(vocabulary, n))
+    insults = ["zorkish", "quorpil", "vexnut", "yukthal"]
+
+    def toxic(at, n=120):
+        text = clean(n)
+        text[at : at + 16 : 4] = rng.permutation(insults)
+        return " ".join(text)
+
+    texts = [toxic(int(rng.integers(0, 100))) for _ in range(200)] + [" ".join(clean(120)) for _ in range(400)]
+    score = birnn.train(texts, [1] * 200 + [0] * 400).scorer()
+    assert (score([toxic(at) for at in range(24, 60) for _ in range(5)]) >= 0.5).mean() > 0.99
+    assert (score([" ".join(clean(120)) for _ in range(100)]) < 0.5).mean() > 0.97
+
+
+def test_finer_windows_only_raise_a_score():
+    net = birnn.Network.fresh(3)
+    words = birnn.Words([" ".join(f"w{i * i % 37}" for i in range(n)) for n in (0, 1, 23, 24, 25, 36, 37, 200)])
+    projected = net.projected(words)
+    every = [net.logits(np.ascontiguousarray(birnn.all_windows(ids)), projected).max() for ids in words.ids]
+    coarse = [net.logits(np.ascontiguousarray(birnn.windows(ids)), projected).max() for ids in words.ids]
+    found = net.greatest(words.ids, projected)
+    assert all(c - 1e-5 <= f <= e + 1e-5 for c, f, e in zip(coarse, found, every))
+
+
 # ---- personal data -------------------------------------------------------------------------------------------
 
 
