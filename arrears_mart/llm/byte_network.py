@@ -165,7 +165,7 @@ def train(pieces: Sequence[str], labels: Sequence[str], seed: int = 5, epochs: i
         x[i, : len(data)] = data
     label = np.array([names.index(y) for y in labels])
     of_label = [np.flatnonzero(label == k) for k in range(len(names))]
-    each = max(1, min(len(pieces), 8192) // len(names))
+    each = max(1, min(max(len(pieces), 4096), 8192) // len(names))  # few pieces are taken several times
     m, v, done = {k: np.zeros_like(w) for k, w in net.p.items()}, {k: np.zeros_like(w) for k, w in net.p.items()}, 0
     for epoch in range(epochs):
         picked = np.concatenate([rng.choice(rows, each, len(rows) < each) for rows in of_label])
