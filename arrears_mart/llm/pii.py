@@ -277,8 +277,9 @@ def _known(found: DataFrame) -> DataFrame:
     """Stored distinct feature values with `role` (see above) and `n`, their number."""
     role = lambda c: F.when(c["found"] == 1, CONFIRMED).when(c["free"], UNKNOWN).otherwise(OTHER)
     row = lambda c, shape, r: F.struct(*[shape.get(n, c[n]).cast("int").alias(n) for n in FEATURES], r.cast("int").alias("role"))
-    # Nothing names a secret that is written another way.
-    unnamed = lambda c: {"cue": F.when(c["kind"] == EVERY_KIND.index("secret"), 0).otherwise(c["cue"])}
+    # A secret that is written another way stands between blanks, and nothing names it.
+    bare = {"cue": 0, "before": 1, "after": 1}
+    unnamed = lambda c: {n: F.when(c["kind"] == EVERY_KIND.index("secret"), v).otherwise(c[n]) for n, v in bare.items()}
     again = F.flatten(
         F.transform(
             F.filter("_candidates", lambda c: c["found"] == 1),
