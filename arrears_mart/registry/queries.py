@@ -299,7 +299,8 @@ def p10(spark, folder):
 def p13(spark, folder):
     sources = normal(spark, folder)
     postal = fixture_postal_codes(spark, folder)
-    rows = C.enrich_accounts(accounts(spark, folder), sources, RUN_TS, postal, ARRIVAL)
+    stored, newest = dated_accounts(spark, folder)
+    rows = C.enrich_accounts(stored, sources, newest, RUN_TS, postal, ARRIVAL)
     return rows.select("NO_DAMA", "CAMPANA_SALDO", "EXCLUIDA")
 
 
