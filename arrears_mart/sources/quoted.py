@@ -147,18 +147,20 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def records(spark: SparkSession, paths: Sequence[str], facts: DataFrame) -> DataFrame:
-    """(record): all records of these files but their headers, as text; `facts` has the ranges' numbers of quotes.
+    """(record): all records of these files but their headers, as text.
+
+    The ranges' numbers of quotes are counted again here, on the very lines that are cut: Spark sizes byte ranges by all
+    the files of a read, so the ranges of `facts`, read with other files, need not be these. The lines are stored once
+    so that counting and cutting see the same ranges.
 
     A record that holds line breaks and a quote that is neither around a field nor doubled ends the job, because its ends
     cannot be told by counting.
     """
-    opened = _open_ranges(facts)
-    lines = physical_lines(spark, paths)
-    if measured_bytes(opened) <= BROADCAST_BYTES:
-        marked = lines.join(F.broadcast(opened), _RANGE, "left")  # keeps the order of the lines
-    else:
-        ordered = lines.withColumn("at", F.monotonically_increasing_id()).join(opened, _RANGE, "left")
-        marked = ordered.repartition(*_RANGE).sortWithinPartitions(*_RANGE, "at").drop("at")
+    lines = stage_table(physical_lines(spark, paths).withColumn("at", F.monotonically_increasing_id()), "csv-lines")
+    opened = _open_ranges(lines.groupBy(*_RANGE).agg(F.sum(_quotes(F.col("line"))).alias("quotes")))
+    small = measured_bytes(opened) <= BROADCAST_BYTES
+    ordered = lines.join(F.broadcast(opened) if small else opened, _RANGE, "left")
+    marked = ordered.repartition(*_RANGE).sortWithinPartitions(*_RANGE, "at").drop("at")  # a range's lines in order
     pieces = stage_table(marked.select("file", "start", "line", "open").mapInArrow(_cut, _PIECES), "csv-pieces")
     whole = pieces.where(F.col("kind") == _WHOLE).select(F.col("piece").alias("record"))
     across = pieces.where(F.col("kind") != _WHOLE)

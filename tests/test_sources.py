@@ -165,6 +165,27 @@ def test_records_are_cut_alike_whichever_way_ranges_are_matched(spark, tmp_path,
     assert quoted.records(spark, [path], facts).count() == len(wanted)
 
 
+def test_quoted_files_of_two_headers_are_cut_where_their_own_read_cuts_them(spark, tmp_path):
+    """Spark sizes byte ranges by all files of a read: the folder and one header's files are cut at other places."""
+    folder = tmp_path / "both"
+    folder.mkdir()
+    _, wanted = _quoted_file(folder, 1500)
+    _, more = _quoted_file(tmp_path, 6000)
+    more = [("b" + d, n, z) for d, n, z in more]
+    with open(folder / "r.csv", "w", encoding="utf-8", newline="") as out:  # more rows, the columns the other way round
+        csv.writer(out, lineterminator="\r\n").writerows([("ZONA", "NOTA", "NO_DAMA"), *[w[::-1] for w in more]])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        rows = tables.read_csv_text(spark, str(folder)).select("NO_DAMA", "NOTA").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", before[1])
+    assert sorted(r[0] for r in rows) == sorted(w[0] for w in [*wanted, *more])
+    assert {r[0]: r[1] for r in rows if r[1] and r[1].strip()} == {w[0]: w[1] for w in [*wanted, *more] if w[1].strip()}
+
+
 def test_quotes_that_cannot_be_counted(spark, tmp_path):
     (tmp_path / "a.csv").write_text('NO_DAMA,NOTA\n1,5" pipe\n2,fine\n', encoding="utf-8")  # an odd number: one task
     assert sorted(map(tuple, tables.read_csv_text(spark, str(tmp_path / "a.csv")).collect())) == [("1", '5" pipe'), ("2", "fine")]
