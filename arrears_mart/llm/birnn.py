@@ -360,11 +360,27 @@ def train(
 
 
 def _calibrated(top: np.ndarray, label: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a logistic curve through these logits, pulled a little to slope 1, by Newton steps."""
+    """Slope and offset of a logistic curve through these logits, pulled a little to slope 1, by Newton steps.
+
+    A step that would raise the penalised loss is halved until it does not, so logits that part the labels cleanly do
+    not throw the curve off."""
     x, beta = np.stack([top, np.ones_like(top)], 1), np.array([0.5, 0.0])
+    pull = np.array([1.0, 0.05])
+
+    def loss(b: np.ndarray) -> float:
+        z = x @ b
+        return float(np.sum(np.logaddexp(0, z) - label * z) + 0.5 * pull @ (b - [1.0, 0.0]) ** 2)
+
     for _ in range(30):
         p = _sigmoid(x @ beta)
-        gradient = x.T @ (p - label) + np.array([1.0, 0.05]) * (beta - [1.0, 0.0])
-        beta = beta - np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag([1.0, 0.05]), gradient)
-        beta[0] = np.clip(beta[0], 0.05, 3)
+        gradient = x.T @ (p - label) + pull * (beta - [1.0, 0.0])
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(pull), gradient)
+        now, size = loss(beta), 1.0
+        while True:
+            moved = beta - size * step
+            moved[0] = np.clip(moved[0], 0.05, 3)
+            if loss(moved) <= now + 1e-9 * (1 + abs(now)) or size < 1e-6:
+                break
+            size /= 2
+        beta = moved
     return float(beta[0]), float(beta[1])
